@@ -64,17 +64,16 @@ def add_row_hash(df: DataFrame) -> DataFrame:
     return df.withColumn("_row_hash", row_hash(df))
 
 
-def duplicate_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """One row: rows, rows in any group of duplicates, the others, and the share."""
+def duplicate_report(df: DataFrame, subset: list[str] | None = None) -> dict[str, float]:
+    """Rows, rows in any group of duplicates, the others, and the share in percent."""
     groups = df.groupBy(*key_columns(df, subset or None)).agg(F.count("*").alias("n"))
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-    return groups.agg(total.alias("total_rows"), repeated.alias("duplicate_rows")).select(
-        "total_rows",
-        "duplicate_rows",
-        (F.col("total_rows") - F.col("duplicate_rows")).alias("unique_rows"),
-        F.when(
-            F.col("total_rows") > 0,
-            F.bround(F.col("duplicate_rows") / F.col("total_rows") * 100, 2),
-        ).otherwise(0.0).alias("duplicate_percent"),
-    )
+    total, repeated = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)),
+    ).first()
+    return {
+        "total_rows": total,
+        "duplicate_rows": repeated,
+        "unique_rows": total - repeated,
+        "duplicate_percent": round(repeated / total * 100, 2) if total else 0.0,
+    }

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.operators.numbering import exact_medians
 from starmill.plans import analytics as a
 from starmill.registry.tables import MONEY, SALES, STAR, star, table
 from starmill.sources.extract import union_by_name
@@ -64,12 +65,15 @@ SELECT p_brand, count(*) AS lines FROM lineitem JOIN part ON l_partkey = p_partk
 
 
 def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without an order."""
-    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an urgent open order."""
+    urgent = "o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'"
+    buyers = table(spark, sf_dir, "orders").where(urgent).select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, sf_dir, "customer").join(buyers, "c_custkey", "left_anti")
 
 
-ANTI_JOIN = "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
+ANTI_JOIN = """
+SELECT * FROM customer WHERE c_custkey NOT IN (
+  SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')"""
 
 
 def semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,8 +213,6 @@ GROUP BY event_type ORDER BY n DESC, event_type"""
 
 def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact medians of two columns."""
-    from starmill.operators.numbering import exact_medians
-
     lines = table(spark, sf_dir, "lineitem")
     found = exact_medians(lines, {
         "quantity": F.col("l_quantity"), "price": F.col("l_extendedprice"),

@@ -188,14 +188,14 @@ FROM orders_clean"""
 
 def empty_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c.before_facts(dirty_orders(spark, sf_dir), {})
-    rows = rows.select("order_status", "priority", "units", "_ord").withColumn("_lineage", F.lit("x"))
+    rows = rows.select("order_status", "priority", "total_price", "_ord").withColumn("_lineage", F.lit("x"))
     return shown(c.drop_empty_rows(rows))
 
 
 EMPTY_DROPPED = f"""
 WITH {DIRTY}
-SELECT order_status, priority, units, 'x' AS _lineage FROM orders_clean
-WHERE order_status IS NOT NULL OR priority IS NOT NULL OR units IS NOT NULL"""
+SELECT order_status, priority, total_price, 'x' AS _lineage FROM orders_clean
+WHERE order_status IS NOT NULL OR priority IS NOT NULL OR total_price IS NOT NULL"""
 
 
 CLEAN_CONFIG = {
@@ -239,7 +239,7 @@ def third_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     rows = orders.select("o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("rank"))
     picked = page(rows, ["rank", "o_orderkey"], number=3, size=20).drop("rank")
-    return picked.select("*", F.lit(orders.count()).alias("total"))
+    return picked.select("*", F.lit(orders.count()).cast("long").alias("total"))
 
 
 THIRD_PAGE = """

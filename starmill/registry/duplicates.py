@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.dedup import add_row_hash, deduplicate, duplicate_report
-from starmill.registry.tables import LINE_ORDER, MONEY, line_order, table
+from starmill.registry.tables import LINE_ORDER, line_order, table
 
 KEYS = ["l_orderkey", "l_linenumber"]
 ORDER = ", ".join(LINE_ORDER)
@@ -86,7 +86,11 @@ FROM orders"""
 
 
 def reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicate_report(lines(spark, sf_dir), KEYS)
+    report = duplicate_report(lines(spark, sf_dir), KEYS)
+    return spark.createDataFrame(
+        [tuple(report.values())],
+        "total_rows long, duplicate_rows long, unique_rows long, duplicate_percent double",
+    )
 
 
 REPORTED = f"""
@@ -95,7 +99,7 @@ totals AS (SELECT CAST(sum(n) AS BIGINT) AS total_rows,
                   CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows
            FROM groups)
 SELECT total_rows, duplicate_rows, total_rows - duplicate_rows AS unique_rows,
-       round_even(duplicate_rows / total_rows * 100, 2) AS duplicate_percent
+       CAST(printf('%.2f', duplicate_rows / total_rows * 100) AS DOUBLE) AS duplicate_percent
 FROM totals"""
 
 

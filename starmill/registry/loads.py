@@ -79,7 +79,7 @@ def json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JSON_EXPORT = """
-SELECT event_id, epoch_ms(ts) AS ts, epoch_ms(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS day,
+SELECT event_id, epoch_us(ts) // 1000 AS ts, epoch_ms(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS day,
        CASE WHEN event_type <> 'error' THEN value END AS value
 FROM events"""
 
@@ -96,7 +96,7 @@ def store_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         F.lit(store.exists("orders")).alias("found"),
         F.lit(store.exists("nothing")).alias("other_found"),
-        F.lit(store.row_count("orders")).alias("row_count"),
+        F.lit(store.row_count("orders")).cast("long").alias("row_count"),
         F.lit(refused).alias("second_refused"),
     )
 

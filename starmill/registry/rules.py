@@ -87,7 +87,7 @@ def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = validate(rows, {c: RULES[c] for c in ("absent", "elsewhere")})
     pairs = [(c, len(m), m[0] if m else None) for c, m in report["violations"].items()]
     found = spark.createDataFrame(pairs, "column string, messages int, message string")
-    return found.select("*", F.lit(rows.count()).alias("row_count"))
+    return found.select("*", F.lit(rows.count()).cast("long").alias("row_count"))
 
 
 MISSING_COLUMNS = """
