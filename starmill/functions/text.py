@@ -9,8 +9,12 @@ from pyspark.sql import types as T
 from starmill.functions.fixed import WHITESPACE
 
 INTEGER = r"^[+-]?[0-9]+$"
-DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITE = r"^(?i)[+-]?inf(inity)?$"
+# Numbers in text, in two shapes: those no double overflows on, and all.
+SAFE_NUMBER = (
+    r"^\s*[+-]?(([0-9]{1,200}[.]?[0-9]*|[.][0-9]+)([eE]([+]?[0-9]{1,2}|-[0-9]+))?"
+    r"|(?i:inf(inity)?))\s*$"
+)
+NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # Date formats recognised in the first value of a column: shape, then Spark pattern.
 DATE_SHAPES = [
@@ -61,20 +65,17 @@ def number(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return c.cast("int")
     if isinstance(dtype, T.StringType):
-        t = F.btrim(c)
-        d = t.try_cast("double")
-        finite = F.when(F.abs(d) < float("inf"), d)
-        return F.when(t.rlike(DECIMAL), finite).when(t.rlike(INFINITE), d)
+        d = c.try_cast("double")
+        return F.when(c.rlike(SAFE_NUMBER), d).when(
+            c.rlike(NUMBER), F.nullif(F.nullif(d, F.lit(float("inf"))), F.lit(float("-inf")))
+        )
     return F.lit(None).cast("double")
 
 
 def integer(c: Column, dtype: T.DataType) -> Column:
     """The value as a long; text of plain digits converts without passing through double."""
     if isinstance(dtype, T.StringType):
-        t = F.btrim(c)
-        return F.when(t.rlike(INTEGER), t.try_cast("long")).otherwise(
-            number(c, dtype).try_cast("long")
-        )
+        return F.coalesce(c.try_cast("long"), number(c, dtype).try_cast("long"))
     return number(c, dtype).try_cast("long")
 
 
@@ -125,25 +126,14 @@ def day(c: Column, dtype: T.DataType) -> Column:
 def double_text(c: Column) -> Column:
     """Shortest text of a double: plain from 1e-4 up to 1e16, otherwise like 1e-05 or 1e+16."""
     java = c.cast("string")
-    size = F.abs(c)
-    plain = F.regexp_replace(
-        java.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    power = F.substring_index(java, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(power < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(power).cast("string"), 2, "0"),
-    )
-    scientific = F.when(F.length(F.abs(power).cast("string")) > 2, F.concat(
-        mantissa, F.when(power < 0, "e-").otherwise("e+"), F.abs(power).cast("string")
-    )).otherwise(scientific)
+    digits = java.try_cast("decimal(38,21)").cast("string")
+    scientific = F.regexp_replace(java, r"(\.0)?E(\d+)$", "e+$2")
+    scientific = F.regexp_replace(scientific, r"(\.0)?E-(\d)$", "e-0$2")
+    scientific = F.regexp_replace(scientific, r"(\.0)?E-(\d+)$", "e-$2")
     return (
         F.when(F.isnan(c), "nan")
-        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when((size >= 1e-3) & (size < 1e7) | (c == 0), java)
-        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(~F.contains(java, F.lit("E")), F.replace(java, F.lit("Infinity"), F.lit("inf")))
+        .when(F.abs(c).between(1e-4, 9999999999999998.0), F.regexp_replace(digits, r"(\.\d+?)0+$", "$1"))
         .otherwise(scientific)
     )
 

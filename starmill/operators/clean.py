@@ -80,7 +80,7 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
     some = reduce(or_, [_present(df, c) for c in columns])
     # One condition over every column makes the optimizer derive a constraint for
     # each subset of them; a condition it takes for non-deterministic does not.
-    return df.where(F.when(F.monotonically_increasing_id() >= 0, some))
+    return df.where(F.when(F.spark_partition_id() >= 0, some))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -115,6 +115,7 @@ class ColumnFacts:
     median: dict[str, int] = field(default_factory=dict)
     not_integer: set[str] = field(default_factory=set)
     plain_integer: set[str] = field(default_factory=set)
+    plain_cast: set[str] = field(default_factory=set)
     not_castable: set[str] = field(default_factory=set)
     pattern: dict[str, str | None] = field(default_factory=dict)
 
@@ -137,6 +138,9 @@ def column_facts(df: DataFrame, config: dict[str, Any]) -> ColumnFacts:
             measures.append(F.count_if(F.col(c).isNull()).alias(f"null {c}"))
         if filling and (hint in FLOAT_HINTS or isinstance(dtype, T.NumericType)):
             measures.append(F.avg(value).cast("double").alias(f"mean {c}"))
+        if hint in INT_HINTS + FLOAT_HINTS and isinstance(dtype, T.StringType):
+            simple = F.col(c).try_cast("long" if hint in INT_HINTS else "double")
+            measures.append(F.count_if(~simple.eqNullSafe(value)).alias(f"odd {c}"))
         if hint in INT_HINTS:
             out_of_range = text.integer(F.col(c), dtype).isNull()
             measures.append(
@@ -167,6 +171,8 @@ def column_facts(df: DataFrame, config: dict[str, Any]) -> ColumnFacts:
             facts.not_integer.add(c)
         elif kind == "fraction" and not value:
             facts.plain_integer.add(c)
+        elif kind == "odd" and not value:
+            facts.plain_cast.add(c)
         elif kind == "stuck" and value:
             facts.not_castable.add(c)
         elif kind == "first":
@@ -205,25 +211,33 @@ def fill_missing(df: DataFrame, config: dict[str, Any], facts: ColumnFacts) -> D
     return _replaced(df, changes)
 
 
-def cast_types(df: DataFrame, config: dict[str, Any], facts: ColumnFacts) -> DataFrame:
+def cast_types(
+    df: DataFrame, config: dict[str, Any], facts: ColumnFacts, other_data: bool = False
+) -> DataFrame:
     """Cast by the type map; what cannot be read in the new type becomes null.
 
     An int column that holds a fraction keeps its old type as a whole. A float
     column becomes double, or long where ``integral_floats`` is "long" and every
-    cell is a plain integer.
+    cell is a plain integer. A column whose every cell Spark's own cast reads as
+    we do is cast plainly; not so if the facts come from ``other_data``.
     """
     changes = {}
+    plain = set() if other_data else facts.plain_cast
     for c, hint in config.get("type_map", {}).items():
         if c not in df.columns:
             continue
         dtype = df.schema[c].dataType
         if hint in INT_HINTS:
-            if c not in facts.not_integer:
+            if c in plain:
+                changes[c] = F.col(c).try_cast("long")
+            elif c not in facts.not_integer:
                 changes[c] = text.integer(F.col(c), dtype)
         elif hint in FLOAT_HINTS:
             whole = c in facts.plain_integer and c not in facts.has_null
             if whole and config.get("integral_floats") == "long":
                 changes[c] = text.integer(F.col(c), dtype)
+            elif c in plain:
+                changes[c] = F.col(c).try_cast("double")
             else:
                 changes[c] = text.number(F.col(c), dtype).cast("double")
         elif hint == "datetime":
@@ -256,8 +270,9 @@ def clean(
     """
     config = config or {}
     out = before_facts(df, config)
+    other_data = facts is not None
     if facts is None:
         facts = column_facts(out, config)
     if config.get("null_strategy", "report") == "fill":
         out = fill_missing(out, config, facts)
-    return cast_types(out, config, facts).transform(drop_empty_rows)
+    return cast_types(out, config, facts, other_data).transform(drop_empty_rows)

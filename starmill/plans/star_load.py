@@ -4,7 +4,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.calendar import date_key
@@ -22,7 +22,7 @@ from starmill.plans.warehouse import (
     FACT,
     KEYS,
     Warehouse,
-    require_constraints,
+    checked_counts,
 )
 from starmill.workspace import materialize
 
@@ -123,19 +123,19 @@ def number_facts(resolved: DataFrame, next_key: int = 1) -> DataFrame:
     )
 
 
-def load_counts(facts: DataFrame) -> DataFrame:
-    """One row: rows offered, dropped by reason, loaded, and the batch's revenue."""
+def load_measures() -> dict[str, Column]:
+    """Aggregates over resolved facts: rows offered, dropped by reason, loaded, and revenue."""
     loaded = F.col("_dropped").isNull()
     revenue = F.sum(F.when(loaded, F.col("total_amount")))
-    return facts.agg(
-        F.count("*").alias("rows_in"),
-        F.count_if(F.col("_dropped") == "customer").alias("unmapped_customers"),
-        F.count_if(F.col("_dropped") == "product").alias("unmapped_products"),
-        F.count_if(F.col("_dropped") == "date").alias("invalid_dates"),
-        F.count_if(loaded).alias("rows_loaded"),
-        revenue.alias("total_revenue"),
-        (revenue.cast("double") / F.count_if(loaded)).alias("avg_order"),
-    )
+    return {
+        "rows_in": F.count("*"),
+        "unmapped_customers": F.count_if(F.col("_dropped") == "customer"),
+        "unmapped_products": F.count_if(F.col("_dropped") == "product"),
+        "invalid_dates": F.count_if(F.col("_dropped") == "date"),
+        "rows_loaded": F.count_if(loaded),
+        "total_revenue": revenue,
+        "avg_order": F.try_divide(revenue.cast("double"), F.count_if(loaded)),
+    }
 
 
 def reload(existing: DataFrame, batch: DataFrame) -> DataFrame:
@@ -190,9 +190,9 @@ def load_star(
             result = upsert(current, batch, business, surrogate, now, start)
         else:
             result = first_load(batch, warehouse.schemas[name].names, surrogate, now, start)
-        require_constraints(result, name)
-        counts = {r["_change"]: r["count"] for r in result.groupBy("_change").count().collect()}
-        changes[name] = {"new": counts.get("new", 0), "updated": counts.get("updated", 0)}
+        changes[name] = checked_counts(result, name, {
+            kind: F.count_if(F.col("_change") == kind) for kind in ("new", "updated")
+        })
         next_key[name] = start + changes[name]["new"]
         tables[name] = warehouse.write(result, name, version)
         merged[name] = result
@@ -200,8 +200,7 @@ def load_star(
     added_dates = materialize(
         new_dates(warehouse.table("dim_date", base), date_dimension_for(sales)), "dates"
     )
-    require_constraints(added_dates, "dim_date")
-    dates_inserted = added_dates.count()
+    dates_inserted = checked_counts(added_dates, "dim_date", {"n": F.count("*")})["n"]
     tables["dim_date"] = list(base.tables.get("dim_date", []))
     if dates_inserted:
         tables["dim_date"] += warehouse.write(added_dates.coalesce(1), "dim_date", version)
@@ -215,9 +214,8 @@ def load_star(
         ),
         start,
     )
+    counts = checked_counts(facts, FACT, load_measures(), F.col("_dropped").isNull())
     loadable = facts.where("_dropped IS NULL").drop("_dropped", "_ord")
-    require_constraints(loadable, FACT)
-    counts = load_counts(facts).first().asDict()
     next_key[FACT] = start + counts["rows_loaded"]
     batch = loadable.withColumns({
         "loaded_at": F.lit(now).cast("timestamp_ntz"),

@@ -7,8 +7,9 @@ whole load or nothing; files a load does not touch are carried over by name.
 
 import json
 from dataclasses import dataclass, field
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,20 +196,39 @@ class Warehouse:
         return self.publish(base, {name: [] for name in self.schemas}, {k: 1 for k in base.next_key})
 
 
+def constraint_rules(columns: list[str], table: str) -> dict[str, Column]:
+    """Constraint name to the condition of a row that breaks it."""
+    rules = {f"{c} is not null": F.col(c).isNull() for c in NOT_NULL[table] if c in columns}
+    return rules | {name: ~F.expr(rule) for name, rule in CHECKS[table].items()}
+
+
 def constraint_counts(df: DataFrame, table: str) -> DataFrame:
     """One row per constraint of the table: how many rows break it, in one pass."""
-    rules = {f"{c} is not null": F.col(c).isNull() for c in NOT_NULL[table] if c in df.columns}
-    rules |= {name: ~F.expr(rule) for name, rule in CHECKS[table].items()}
-    counted = df.agg(*[F.count_if(broken).alias(f"n{i}") for i, broken in enumerate(rules.values())])
+    rules = constraint_rules(df.columns, table)
+    counted = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
     return counted.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("constraint_name"), F.col(f"n{i}").alias("violations"))
-        for i, name in enumerate(rules)
+        F.struct(F.lit(name).alias("constraint_name"), F.col(f"`{name}`").alias("violations"))
+        for name in rules
     ])))
 
 
-def require_constraints(df: DataFrame, table: str) -> None:
-    broken = constraint_counts(df, table).where("violations > 0").collect()
-    if broken:
-        raise ConstraintError(
-            f"{table}: " + ", ".join(f"{r['constraint_name']} ({r['violations']})" for r in broken)
-        )
+def checked_counts(
+    df: DataFrame, table: str, measures: dict[str, Column], rows: Column | None = None
+) -> dict[str, Any]:
+    """Measures of a batch, and its constraints, in one pass; raises if any is broken.
+
+    ``rows`` limits the constraints to the rows that will be stored.
+    """
+    rules = constraint_rules(df.columns, table)
+    counted = df.agg(
+        *[c.alias(name) for name, c in measures.items()],
+        *[
+            F.count_if(broken if rows is None else broken & rows).alias(name)
+            for name, broken in rules.items()
+        ],
+    ).first().asDict()
+    broken = {name: counted.pop(name) for name in rules}
+    if any(broken.values()):
+        found = ", ".join(f"{name} ({n})" for name, n in broken.items() if n)
+        raise ConstraintError(f"{table}: {found}")
+    return counted

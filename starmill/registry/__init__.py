@@ -9,10 +9,13 @@ from starmill.registry import (
     reports,
     rules,
     scans,
+    streams,
 )
 
 QUERIES = {
     name: pair
-    for module in (scans, cleaning, rules, duplicates, reports, dimensions, loads, analytics)
+    for module in (
+        scans, cleaning, rules, duplicates, reports, dimensions, loads, analytics, streams,
+    )
     for name, pair in module.QUERIES.items()
 }

@@ -10,7 +10,7 @@ from starmill.operators.numbering import number_rows
 from starmill.operators.sinks import FlatStore, export_csv, export_json
 from starmill.plans.star_load import (
     first_load,
-    load_counts,
+    load_measures,
     load_star,
     new_dates,
     number_facts,
@@ -234,7 +234,7 @@ WHERE customer_key IS NOT NULL AND product_key IS NOT NULL AND date_key IS NOT N
 
 
 def facts_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = load_counts(partly_mapped(spark, sf_dir))
+    counts = partly_mapped(spark, sf_dir).agg(*[c.alias(n) for n, c in load_measures().items()])
     return counts.withColumn("total_revenue", F.col("total_revenue").cast("decimal(28,2)"))
 
 

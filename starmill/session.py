@@ -9,7 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
-    "spark.sql.parquet.filterPushdown": "true",
+    # Recording a Python call site for every column expression slows wide tables down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -1,5 +1,6 @@
 """CSV scans: every cell is text, and the usual spellings of nothing are null."""
 
+import codecs
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,17 @@ from starmill.sources.order import file_place
 from starmill.workspace import Files
 
 
+# Spark's names of the encodings it reads, by the codec name Python gives them.
+CHARSETS = {
+    "utf-8": "UTF-8", "ascii": "US-ASCII", "iso8859-1": "ISO-8859-1", "utf-16": "UTF-16",
+    "utf-16-be": "UTF-16BE", "utf-16-le": "UTF-16LE", "utf-32": "UTF-32",
+}
+
+
+def charset(encoding: str) -> str:
+    return CHARSETS.get(codecs.lookup(encoding).name, encoding)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -25,7 +37,7 @@ def read_csv(
     """
     try:
         raw = spark.read.csv(
-            path, header=True, sep=delimiter, encoding=encoding, quote='"', escape='"',
+            path, header=True, sep=delimiter, encoding=charset(encoding), quote='"', escape='"',
             multiLine=multiline, inferSchema=False, enforceSchema=True,
         )
     except AnalysisException as error:
