@@ -37,7 +37,7 @@ OTHER_REGION = "Other"
 B2B_COUNTRIES = ["USA", "UK", "Germany", "France"]
 
 # Share of the mean unit price taken as cost.
-COST_SHARE = "0.6"
+COST_SHARE = 0.6
 
 # First month of the fiscal year.
 FISCAL_START = 7

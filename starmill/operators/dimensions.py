@@ -47,10 +47,9 @@ def customer_dimension(
 
 def cost_price(prices: Column, dtype: T.DataType) -> Column:
     """An aggregate: the fixed share of the mean price, to the cent."""
-    if isinstance(dtype, T.DecimalType):
-        share = F.sum(prices) * F.lit(COST_SHARE).cast("decimal(2,1)")
-        return F.bround(share / F.count(prices), 2).cast("decimal(18,2)")
-    return F.rint(F.avg(prices) * float(COST_SHARE) * 100) / 100
+    mean = F.try_divide(F.sum(prices).cast("double"), F.count(prices))
+    cost = F.rint(mean * COST_SHARE * 100) / 100
+    return cost.cast("decimal(18,2)") if isinstance(dtype, T.DecimalType) else cost
 
 
 def product_dimension(sales: DataFrame) -> DataFrame:

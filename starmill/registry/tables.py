@@ -115,8 +115,8 @@ REGION_SQL = (
 )
 SEGMENT_SQL = "CASE WHEN country IN ('EUROPE', 'AMERICA') THEN 'B2B' ELSE 'B2C' END"
 COST_SQL = (
-    "CAST(round_even(CAST(sum(unit_price) AS DECIMAL(28,2)) * 0.6 / count(unit_price), 2)"
-    " AS DECIMAL(18,2))"
+    "CAST(round_even(CAST(sum(unit_price) AS DOUBLE) / count(unit_price)"
+    " * CAST(0.6 AS DOUBLE) * 100, 0) / 100 AS DECIMAL(18,2))"
 )
 
 DIMENSIONS = f"""
