@@ -66,7 +66,10 @@ def add_row_hash(df: DataFrame) -> DataFrame:
 
 def duplicate_report(df: DataFrame, subset: list[str] | None = None) -> dict[str, float]:
     """Rows, rows in any group of duplicates, the others, and the share in percent."""
-    groups = df.groupBy(*key_columns(df, subset or None)).agg(F.count("*").alias("n"))
+    keys = key_columns(df, subset or None)
+    digest = text.row_digest({c: df.schema[c].dataType for c in keys})
+    groups = df.groupBy(*keys) if subset else df.select(digest.alias("row")).groupBy("row")
+    groups = groups.agg(F.count("*").alias("n"))
     total, repeated = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)),

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.workspace import materialize
+from starmill.workspace import materialize, temporary_tables
 
 POSITION_BITS = 33
 
@@ -55,6 +55,11 @@ def exact_medians(df: DataFrame, values: dict[str, Column]) -> dict[str, float]:
     row from there on; the middle is then found from per-range counts and only
     the ranges that hold it are read again.
     """
+    with temporary_tables(df.sparkSession):
+        return _medians(df, values)
+
+
+def _medians(df: DataFrame, values: dict[str, Column]) -> dict[str, float]:
     pairs = F.explode(
         F.array(*[
             F.struct(F.lit(name).alias("name"), value.cast("double").alias("value"))

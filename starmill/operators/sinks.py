@@ -23,14 +23,19 @@ class FlatStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def load(self, df: DataFrame, table: str, if_exists: str = "replace") -> None:
-        """Write the data columns; ``if_exists`` is replace, append or fail."""
+    def load(self, df: DataFrame, table: str, if_exists: str = "replace") -> int:
+        """Write the data columns and return the number of rows written.
+
+        ``if_exists`` is replace, append or fail. Counts come from file footers.
+        """
+        before = self.row_count(table) if if_exists == "append" and self.exists(table) else 0
         try:
             drop_metadata(df).write.mode(WRITE_MODES[if_exists]).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() == "PATH_ALREADY_EXISTS":
                 raise FileExistsError(f"table '{table}' exists") from error
             raise
+        return self.row_count(table) - before
 
     def exists(self, table: str) -> bool:
         return Files(self.spark).exists(self.path(table))

@@ -15,7 +15,7 @@ from starmill.operators.validate import measures, report_from
 from starmill.plans.star_load import load_star
 from starmill.plans.warehouse import Warehouse
 from starmill.sources.extract import extract
-from starmill.workspace import Files, materialize
+from starmill.workspace import Files, materialize, temporary_tables
 
 DEFAULT_SPEC = {
     "sources": [],
@@ -71,7 +71,11 @@ def run(spark: SparkSession, spec: dict[str, Any] | None = None) -> dict[str, An
     Counts come from aggregates over those tables, not from task counters,
     which would count a repeated task twice.
     """
-    spec = DEFAULT_SPEC if spec is None else spec
+    with temporary_tables(spark):
+        return _run(spark, DEFAULT_SPEC if spec is None else spec)
+
+
+def _run(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
     clock = Clock()
     try:
         found = extract(spark, spec)
@@ -87,7 +91,8 @@ def run(spark: SparkSession, spec: dict[str, Any] | None = None) -> dict[str, An
             return {"status": "failed", "reason": "Empty extract", "metrics": clock.phases}
 
         cleaned = staged_clean(landed, spec)
-        quality = report_dict(quality_report(cleaned.drop("_ord")))
+        with_duplicates = spec.get("count_duplicates", True)
+        quality = report_dict(quality_report(cleaned.drop("_ord"), with_duplicates))
         clock.mark("clean")
 
         rules = spec.get("validation_rules", {})
@@ -115,8 +120,7 @@ def run(spark: SparkSession, spec: dict[str, Any] | None = None) -> dict[str, An
         else:
             table = output.get("table_name", "etl_results")
             store = FlatStore(spark, root)
-            store.load(staged, table, output.get("if_exists", "replace"))
-            rows_loaded = kept["n"]
+            rows_loaded = store.load(staged, table, output.get("if_exists", "replace"))
             if output.get("export_csv"):
                 export_csv(staged, f"{root}/{table}_csv")
             if output.get("export_json"):

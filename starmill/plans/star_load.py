@@ -1,5 +1,6 @@
 """Loading transactions into the star: dimensions, keys, facts, checks."""
 
+from collections import Counter
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
@@ -24,7 +25,10 @@ from starmill.plans.warehouse import (
     Warehouse,
     checked_counts,
 )
-from starmill.workspace import materialize
+from starmill.workspace import materialize, temporary_tables
+
+# Folders a year of facts may consist of before a load merges them.
+MOST_LOADS = 32
 
 MEASURES = ["quantity", "unit_price", "discount", "total_amount"]
 
@@ -146,6 +150,10 @@ def reload(existing: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+def year_of(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
+
+
 @dataclass
 class Loaded:
     """What a star load did."""
@@ -170,6 +178,14 @@ def load_star(
 
     ``sales`` must be a written table (it is read once per output) and carry ``_ord``.
     """
+    with temporary_tables(warehouse.spark):
+        return _load_star(warehouse, sales, regions, b2b, now)
+
+
+def _load_star(
+    warehouse: Warehouse, sales: DataFrame, regions: dict[str, str], b2b: list[str],
+    now: datetime | None,
+) -> Loaded:
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     base = warehouse.current()
     version = base.version + 1
@@ -222,7 +238,7 @@ def load_star(
         "sale_year": F.floor(F.col("date_key") / 10000).cast("int"),
     })
 
-    # Only years that hold rows of reloaded orders are rewritten.
+    # Only years that hold rows of reloaded orders, or too many small loads, are rewritten.
     folders = list(base.tables.get(FACT, []))
     replaced = 0
     if folders:
@@ -234,9 +250,11 @@ def load_star(
             .groupBy("sale_year").count().collect()
         }
         replaced = sum(hit.values())
-        if hit:
-            batch = reload(existing.where(F.col("sale_year").isin(*hit)), batch)
-            folders = [f for f in folders if int(f.rsplit("=", 1)[1]) not in hit]
+        loads = Counter(year_of(f) for f in folders)
+        rewritten = set(hit) | {year for year, n in loads.items() if n >= MOST_LOADS}
+        if rewritten:
+            batch = reload(existing.where(F.col("sale_year").isin(*rewritten)), batch)
+            folders = [f for f in folders if year_of(f) not in rewritten]
     tables[FACT] = folders + warehouse.write(batch, FACT, version)
 
     orphans = {

@@ -21,6 +21,8 @@ def local_session(cpus: str = "*", partitions: int = 8, **extra: str) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Reading a shuffle by mapper saves network, of which one machine has none.
+        .config("spark.sql.adaptive.localShuffleReader.enabled", "false")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

@@ -71,7 +71,8 @@ def read_json(
     ``record_path`` a root object gives a row per element of the array there,
     and the ``meta`` fields of the object repeat on each. Malformed input
     raises. Columns come in written order; ``columns`` names it without a look
-    at the first record. Whole documents cannot be split between tasks, so
+    at the first record. Types are inferred in a pass over the data; ``schema``
+    gives them without one. Whole documents cannot be split between tasks, so
     large inputs should be delivered as lines.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -2,10 +2,14 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: dict[str, str] = {}
+_open_scope: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +30,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing exists there yet."""
-    return f"{shared_dir(spark)}/starmill/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/starmill/{label}-{uuid.uuid4().hex}"
+    if (scope := _open_scope.get()) is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables written inside the block when it ends.
+
+    For blocks whose results are stored elsewhere; a table that is still to be
+    read afterwards must be written outside.
+    """
+    paths: list[str] = []
+    token = _open_scope.set(paths)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        files = Files(spark)
+        for path in paths:
+            files.remove(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -60,6 +85,10 @@ class Files:
         fs, p = self._open(path)
         return fs.exists(p) and fs.getFileStatus(p).isDirectory()
 
+    def remove(self, path: str) -> None:
+        fs, p = self._open(path)
+        fs.delete(p, True)
+
     def names(self, path: str) -> list[str]:
         """Names of the entries of a folder, sorted; a missing folder has none."""
         fs, p = self._open(path)

@@ -115,6 +115,29 @@ def test_partial_reload_rewrites_only_touched_years(spark, tmp_path):
     assert warehouse.table("dim_customer").count() == 3
 
 
+def test_many_small_loads_are_merged(spark, tmp_path, monkeypatch):
+    from starmill.plans import star_load
+
+    monkeypatch.setattr(star_load, "MOST_LOADS", 2)
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    for n in range(4):
+        load_star(warehouse, sales(spark, sale(1, f"O{n}", "2022-05-01", "C1", "P1")))
+    assert len(warehouse.current().tables[FACT]) < 4
+    found = warehouse.table(FACT).orderBy("sale_id").collect()
+    assert [(r["sale_id"], r["order_id"]) for r in found] == [(n + 1, f"O{n}") for n in range(4)]
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    from starmill.workspace import Files, scratch_path, shared_dir
+
+    folder = f"{shared_dir(spark)}/starmill"
+    scratch_path(spark, "x")
+    before = set(Files(spark).names(folder))
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    load_star(warehouse, sales(spark, sale(1, "O1", "2024-01-01", "C1", "P1")))
+    assert set(Files(spark).names(folder)) == before
+
+
 def test_unmapped_rows_are_dropped_and_counted(spark, tmp_path):
     warehouse = Warehouse(spark, f"file:{tmp_path}/w")
     loaded = load_star(warehouse, sales(
@@ -190,10 +213,10 @@ def test_flat_store(spark, tmp_path):
     store = FlatStore(spark, f"file:{tmp_path}/flat")
     df = spark.createDataFrame([(1, "a", 90.5, "CSV"), (2, "b", 85.0, "JSON")],
                                "id long, name string, score double, _source_type string")
-    store.load(df, "t")
+    assert store.load(df, "t") == 2
     assert store.exists("t") and store.row_count("t") == 2
     assert "_source_type" not in store.read("t").columns
-    store.load(df, "t", "append")
+    assert store.load(df, "t", "append") == 2
     assert store.row_count("t") == 4
     with pytest.raises(FileExistsError):
         store.load(df, "t", "fail")
