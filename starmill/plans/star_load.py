@@ -33,6 +33,11 @@ MOST_LOADS = 32
 MEASURES = ["quantity", "unit_price", "discount", "total_amount"]
 
 
+def stamped(now: datetime) -> Column:
+    """A moment as a zoneless literal, whatever the session's zone."""
+    return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def new_dates(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Days of the batch the date dimension does not have yet."""
     return batch.join(current.select("date_key"), "date_key", "left_anti")
@@ -51,7 +56,7 @@ def upsert(
         c for c in current.columns
         if c not in (business_key, surrogate, "loaded_at", "updated_at")
     ]
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = stamped(now)
     old = current.select(F.lit(True).alias("_old"), *[
         F.col(c) if c == business_key else F.col(c).alias(f"old_{c}") for c in current.columns
     ])
@@ -84,7 +89,7 @@ def first_load(
     batch: DataFrame, columns: list[str], surrogate: str, now: datetime, next_key: int = 1
 ) -> DataFrame:
     """What ``upsert`` gives on an empty dimension, without the join."""
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = stamped(now)
     numbered = number_rows(batch, ["_ord"], surrogate, next_key)
     numbered = numbered.withColumns({
         "loaded_at": stamp, "updated_at": stamp, "_change": F.lit("new")
@@ -234,7 +239,7 @@ def _load_star(
     loadable = facts.where("_dropped IS NULL").drop("_dropped", "_ord")
     next_key[FACT] = start + counts["rows_loaded"]
     batch = loadable.withColumns({
-        "loaded_at": F.lit(now).cast("timestamp_ntz"),
+        "loaded_at": stamped(now),
         "sale_year": F.floor(F.col("date_key") / 10000).cast("int"),
     })
 
