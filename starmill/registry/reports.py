@@ -171,7 +171,7 @@ def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row counts a whole flat run reports; its seconds vary from run to run."""
     source = csv_of(dirty_orders(spark, sf_dir).drop("_ord"), scratch_path(spark, "csv"))
     report = run(spark, {
-        "sources": [{"type": "CSV", "path": source, "multiline": False}],
+        "sources": [{"type": "CSV", "path": source}],
         "cleaning": {"null_strategy": "fill", "type_map": {"units": "int", "rush_": "bool"}},
         "deduplication": {"keep": "first", "subset": ["order_date", "order_status"]},
         "validation_rules": {"units": {"min_value": 10}, "order_status": {"required": True}},

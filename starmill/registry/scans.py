@@ -57,7 +57,7 @@ def csv_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "folder")
     csv_of(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), folder)
     csv_of(table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("c_name")), folder)
-    rows = read_csv_directory(spark, folder, multiline=False)
+    rows = read_csv_directory(spark, folder)
     return rows.select("c_custkey", "c_name", "c_mktsegment", "s_suppkey", "_source_type")
 
 
@@ -192,7 +192,7 @@ SQL_TABLES = " UNION ALL ".join(
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    as_csv = read_csv(spark, csv_of(events, scratch_path(spark, "csv")), multiline=False)
+    as_csv = read_csv(spark, csv_of(events, scratch_path(spark, "csv")))
     as_json = read_json(spark, json_of(spark, events, F.struct("*")), lines=True)
     both = as_csv.select("_source_type", "_source_file").unionByName(
         as_json.select("_source_type", "_source_file")
@@ -217,7 +217,7 @@ def many_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     record = F.struct(F.col("p_partkey").alias("id"), F.col("p_brand").alias("brand"))
     found = extract(spark, {"sources": [
-        {"type": "CSV", "path": csv_of(buyers, scratch_path(spark, "csv")), "multiline": False},
+        {"type": "CSV", "path": csv_of(buyers, scratch_path(spark, "csv"))},
         {"type": "CSV", "path": scratch_path(spark, "absent")},
         {"type": "XML", "path": "ignored"},
         {"type": "JSON", "path": json_of(spark, parts, record), "lines": True},

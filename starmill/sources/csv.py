@@ -23,23 +23,47 @@ def charset(encoding: str) -> str:
     return CHARSETS.get(codecs.lookup(encoding).name, encoding)
 
 
+def may_split(raw: DataFrame, path: str | list[str], encoding: str) -> bool:
+    """Whether splitting the files gains something and cuts no quoted line break.
+
+    Files that fit one task are not looked at. Larger ones are searched for a
+    line with an odd number of quotes; without one, every line is a row.
+    """
+    spark = raw.sparkSession
+    one_task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    total = raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(total)) <= one_task or charset(encoding).startswith(("UTF-16", "UTF-32")):
+        return False
+    files = spark.read.format("binaryFile").load(path)
+    if files.agg(F.max("length")).first()[0] <= one_task:
+        return False
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     delimiter: str = ",",
     encoding: str = "utf-8",
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Scan CSV files that share one header.
 
-    ``multiline`` allows line breaks inside quotes, which keeps a file in one
-    task; set it to False for large files without them, and Spark splits the files.
+    Cells may hold line breaks inside quotes. A file that has some cannot be
+    split between tasks; large files are checked for them and split if they have
+    none. Pass ``multiline`` where the answer is known.
     """
-    try:
-        raw = spark.read.csv(
+    def scan(whole_files: bool) -> DataFrame:
+        return spark.read.csv(
             path, header=True, sep=delimiter, encoding=charset(encoding), quote='"', escape='"',
-            multiLine=multiline, inferSchema=False, enforceSchema=True,
+            multiLine=whole_files, inferSchema=False, enforceSchema=True,
         )
+
+    try:
+        raw = scan(multiline is not False)
+        if multiline is None and may_split(raw, path, encoding):
+            raw = scan(False)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"CSV file not found: {path}") from error
@@ -57,7 +81,7 @@ def read_csv(
 
 def read_csv_directory(
     spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "utf-8",
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame | None:
     """Scan every .csv file of a folder; None if it has none.
 

@@ -84,6 +84,22 @@ def test_file_order_survives_many_splits(spark, tmp_path):
     assert found == [(n, i) for n in range(3) for i in range(20000)]
 
 
+def test_large_files_are_split_unless_a_cell_spans_lines(spark, tmp_path):
+    lines = [f'{i},"say ""{i}"", ok"' for i in range(20000)]
+    plain = write(tmp_path / "plain.csv", "\n".join(["n,t", *lines]) + "\n")
+    lines[777] = '777,"two\nlines"'
+    spans = write(tmp_path / "spans.csv", "\n".join(["n,t", *lines]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100000)
+    try:
+        split, whole = read_csv(spark, plain), read_csv(spark, spans)
+        assert split.rdd.getNumPartitions() > 1 and whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 20000
+        assert whole.where("n = 777").first()["t"] == "two\nlines"
+        assert values(split, "n")[19999] == ("19999",)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_json_array_object_and_other_roots(spark, tmp_path):
     array = write(tmp_path / "a.json", json.dumps([{"id": 1, "p": "x"}, {"id": 2, "p": "y"}]))
     assert values(read_json(spark, array), "id", "p", "_source_type") == [
