@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions import text
 from starmill.operators.clean import data_columns
+from starmill.operators.numbering import sort_columns
 
 log = logging.getLogger(__name__)
 
@@ -36,7 +37,7 @@ def deduplicate(
     so a key with a third of the table sends one or two rows per input task.
     """
     keys = key_columns(df, subset)
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by or ["_ord"]]
+    order = sort_columns(df, order_by or ["_ord"])
     if keep == "last":
         order = [c.desc() for c in order]
     same = Window.partitionBy(*keys)

@@ -3,11 +3,24 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.functions.columns import flat_columns
 from starmill.workspace import materialize, temporary_tables
 
 POSITION_BITS = 33
 
 
+def sort_columns(df: DataFrame, order_by: list[str | Column]) -> list[Column]:
+    """The order as plain columns: a struct becomes its fields, which sort faster."""
+    out = []
+    for c in order_by:
+        if isinstance(c, str):
+            leaves = flat_columns(df.select(c).schema)
+            out += list(leaves.values())
+        else:
+            out.append(c)
+    return out
+
+
 def ranged(df: DataFrame, order_by: list[str | Column], label: str) -> DataFrame:
     """Range-partition and sort by a total order, then write the table.
 
@@ -16,9 +29,10 @@ def ranged(df: DataFrame, order_by: list[str | Column], label: str) -> DataFrame
     reader sees them.
     """
     low_bits = F.lit((1 << POSITION_BITS) - 1)
+    order = sort_columns(df, order_by)
     return materialize(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(low_bits)),
         label,

@@ -1,6 +1,9 @@
 """Loading transactions into the star: dimensions, keys, facts, checks."""
 
 from collections import Counter
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
@@ -22,6 +25,7 @@ from starmill.plans.warehouse import (
     BUSINESS_KEYS,
     FACT,
     KEYS,
+    Snapshot,
     Warehouse,
     checked_counts,
 )
@@ -128,7 +132,7 @@ def resolve_facts(sales: DataFrame, customers: DataFrame, products: DataFrame) -
 def number_facts(resolved: DataFrame, next_key: int = 1) -> DataFrame:
     """Give every loadable row its sale_id in batch order; dropped rows come after them."""
     return number_rows(
-        resolved, [F.col("_dropped").isNotNull(), F.col("_ord")], "sale_id", next_key
+        resolved, [F.col("_dropped").isNotNull(), "_ord"], "sale_id", next_key
     )
 
 
@@ -172,6 +176,49 @@ class Loaded:
     orphans: dict[str, int]
 
 
+@dataclass
+class LoadedDimension:
+    """A dimension's rows, the folders that will hold it, and what changed."""
+
+    rows: DataFrame
+    folders: list[str]
+    counts: dict[str, int]
+
+
+def load_dimension(
+    warehouse: Warehouse, base: Snapshot, name: str, batch: DataFrame, now: datetime
+) -> LoadedDimension:
+    """Merge a batch into a dimension and write the whole result to a new folder."""
+    start = base.next_key.get(name, 1)
+    business, surrogate = BUSINESS_KEYS[name], KEYS[name]
+    if base.tables.get(name):
+        rows = upsert(warehouse.table(name, base), batch, business, surrogate, now, start)
+    else:
+        rows = first_load(batch, warehouse.schemas[name].names, surrogate, now, start)
+    counts = checked_counts(rows, name, {
+        kind: F.count_if(F.col("_change") == kind) for kind in ("new", "updated")
+    })
+    return LoadedDimension(rows, warehouse.write(rows, name, base.version + 1), counts)
+
+
+def load_dates(warehouse: Warehouse, base: Snapshot, sales: DataFrame) -> LoadedDimension:
+    """Write the days the date dimension lacks; ``rows`` holds those only."""
+    rows = materialize(
+        new_dates(warehouse.table("dim_date", base), date_dimension_for(sales)), "dates"
+    )
+    counts = checked_counts(rows, "dim_date", {"new": F.count("*")})
+    folders = list(base.tables.get("dim_date", []))
+    if counts["new"]:
+        folders += warehouse.write(rows.coalesce(1), "dim_date", base.version + 1)
+    return LoadedDimension(rows, folders, counts)
+
+
+def side_by_side(tasks: list[Callable[[], Any]]) -> list[Any]:
+    """Run independent loads together, so that one fills the cluster where another ends."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, t) for t in tasks]]
+
+
 def load_star(
     warehouse: Warehouse,
     sales: DataFrame,
@@ -194,44 +241,25 @@ def _load_star(
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     base = warehouse.current()
     version = base.version + 1
-    tables: dict[str, list[str]] = {}
-    next_key: dict[str, int] = {}
-    changes: dict[str, dict[str, int]] = {}
-
-    batches = {
-        "dim_customer": customer_dimension(sales, regions, b2b),
-        "dim_product": product_dimension(sales),
+    customers, products, dates = side_by_side([
+        lambda: load_dimension(
+            warehouse, base, "dim_customer", customer_dimension(sales, regions, b2b), now
+        ),
+        lambda: load_dimension(warehouse, base, "dim_product", product_dimension(sales), now),
+        lambda: load_dates(warehouse, base, sales),
+    ])
+    dimensions = {"dim_customer": customers, "dim_product": products, "dim_date": dates}
+    tables = {name: d.folders for name, d in dimensions.items()}
+    next_key = {
+        name: base.next_key.get(name, 1) + dimensions[name].counts["new"] for name in BUSINESS_KEYS
     }
-    merged: dict[str, DataFrame] = {}
-    for name, batch in batches.items():
-        start = base.next_key.get(name, 1)
-        business, surrogate = BUSINESS_KEYS[name], KEYS[name]
-        if base.tables.get(name):
-            current = warehouse.table(name, base)
-            result = upsert(current, batch, business, surrogate, now, start)
-        else:
-            result = first_load(batch, warehouse.schemas[name].names, surrogate, now, start)
-        changes[name] = checked_counts(result, name, {
-            kind: F.count_if(F.col("_change") == kind) for kind in ("new", "updated")
-        })
-        next_key[name] = start + changes[name]["new"]
-        tables[name] = warehouse.write(result, name, version)
-        merged[name] = result
-
-    added_dates = materialize(
-        new_dates(warehouse.table("dim_date", base), date_dimension_for(sales)), "dates"
-    )
-    dates_inserted = checked_counts(added_dates, "dim_date", {"n": F.count("*")})["n"]
-    tables["dim_date"] = list(base.tables.get("dim_date", []))
-    if dates_inserted:
-        tables["dim_date"] += warehouse.write(added_dates.coalesce(1), "dim_date", version)
 
     start = base.next_key.get(FACT, 1)
     facts = number_facts(
         resolve_facts(
             sales,
-            key_map(merged["dim_customer"], "dim_customer"),
-            key_map(merged["dim_product"], "dim_product"),
+            key_map(customers.rows, "dim_customer"),
+            key_map(products.rows, "dim_product"),
         ),
         start,
     )
@@ -265,9 +293,9 @@ def _load_star(
     orphans = {
         r["foreign_key"]: r["orphans"]
         for r in referential_orphans(loadable, {
-            "customer_key": merged["dim_customer"],
-            "product_key": merged["dim_product"],
-            "date_key": added_dates.select("date_key").unionByName(
+            "customer_key": customers.rows,
+            "product_key": products.rows,
+            "date_key": dates.rows.select("date_key").unionByName(
                 warehouse.table("dim_date", base).select("date_key")
             ),
         }).collect()
@@ -276,6 +304,5 @@ def _load_star(
         raise ValueError(f"referential integrity violated: {orphans}")
     warehouse.publish(base, tables, next_key)
     return Loaded(
-        version, dates_inserted, changes["dim_customer"], changes["dim_product"],
-        counts, replaced, orphans,
+        version, dates.counts["new"], customers.counts, products.counts, counts, replaced, orphans,
     )

@@ -6,6 +6,7 @@ whole load or nothing; files a load does not touch are carried over by name.
 """
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -137,18 +138,20 @@ class Warehouse:
         return reader.parquet(*[f"{self.root}/{f}" for f in folders]).select(*schema.names)
 
     def write(self, df: DataFrame, name: str, version: int) -> list[str]:
-        """Write new files of a table and return their folders; readers do not see them yet."""
-        folder = f"{name}/load={version}"
+        """Write new files of a table and return their folders; readers do not see them yet.
+
+        The folder is the writer's own, so two loads of one version cannot mix.
+        """
+        folder = f"{name}/load=v{version}_{uuid.uuid4().hex}"
         out = df.select(*[
             F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schemas[name].fields
         ])
         if name != FACT:
-            out.write.mode("overwrite").parquet(f"{self.root}/{folder}")
+            out.write.parquet(f"{self.root}/{folder}")
             return [folder]
         # One writer per year and advisory size: large years are split, small ones merged.
-        out.hint("rebalance", "sale_year").write.mode("overwrite").partitionBy(
-            "sale_year"
-        ).parquet(f"{self.root}/{folder}")
+        balanced = out.hint("rebalance", "sale_year")
+        balanced.write.partitionBy("sale_year").parquet(f"{self.root}/{folder}")
         years = self._files.names(f"{self.root}/{folder}")
         return [f"{folder}/{y}" for y in years if y.startswith("sale_year=")]
 

@@ -8,26 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.functions.columns import flat_columns, quoted
 from starmill.sources.order import file_place, place
 from starmill.workspace import Files
 
 
-def _quoted(path: list[str]) -> str:
-    return ".".join(f"`{p}`" for p in path)
-
-
-def flat_columns(schema: T.StructType, root: tuple[str, ...] = ()) -> dict[str, Column]:
-    """Dotted name to column, for every leaf below nested objects; arrays are leaves."""
-    out = {}
-    for f in schema.fields:
-        here = (*root, f.name)
-        if isinstance(f.dataType, T.StructType):
-            out.update(flat_columns(f.dataType, here))
-        else:
-            out[".".join(here)] = F.col(_quoted(list(here)))
-    return out
-
-
 def document_order(record: Any) -> list[str]:
     """Flattened names of a record: plain fields as written, then the nested ones."""
     def below(value: dict, root: str) -> list[str]:
@@ -94,10 +79,10 @@ def read_json(
         for field in meta or []:
             where = [field] if isinstance(field, str) else list(field)
             known = _has(docs.schema, where)
-            column = F.col(_quoted(where)) if known else F.lit(None).cast("string")
+            column = F.col(quoted(where)) if known else F.lit(None).cast("string")
             parents[".".join(where)] = column
         picked = docs.select(
-            F.explode(F.col(_quoted(steps))).alias("record"),
+            F.explode(F.col(quoted(steps))).alias("record"),
             *[c.alias(f"meta {n}") for n, c in parents.items()],
             F.col("_metadata.file_name").alias("_source_file"),
             F.col("_metadata.file_path").alias("file_path"),
