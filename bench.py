@@ -13,7 +13,7 @@ from starmill.session import local_session
 
 # The star load comes first: the analytics read the warehouse it leaves.
 HEADLINE = [
-    "lod_12", "lod_10", "qlt_9",
+    "lod_12", "lod_10", "lod_12_facts", "qlt_9",
     "src_1", "src_3", "src_11",
     "cln_3", "cln_6", "cln_7", "cln_15",
     "val_9", "qlt_8",
