@@ -1,5 +1,6 @@
 """The folder every executor can reach, and tables written there to cut lineage."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if app not in _local_base:
         _local_base[app] = "file:" + tempfile.mkdtemp(prefix="starmill-")
