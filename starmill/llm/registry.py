@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["harmonic_packing", "tree_bpe", "rank_counts"]
+MODULES = ["arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "secret_scan"]
 
 QUERIES = {
     name: pair
