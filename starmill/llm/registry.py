@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ["arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "secret_scan"]
+MODULES = [
+    "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "toxicity", "secret_scan",
+]
 
 QUERIES = {
     name: pair
