@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = [
-    "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "toxicity", "secret_scan",
+    "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "toxicity", "pq_neardup", "secret_scan",
 ]
 
 QUERIES = {
