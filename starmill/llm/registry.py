@@ -3,7 +3,8 @@
 from importlib import import_module
 
 MODULES = [
-    "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "toxicity", "pq_neardup", "secret_scan",
+    "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "toxicity", "posting_lists",
+    "pq_neardup", "secret_scan",
 ]
 
 QUERIES = {
