@@ -184,7 +184,9 @@ def learn(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).where(learnable)
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("mark")).where(learnable)
-    shares = marks.agg(F.avg((F.col("mark") == 1).cast("double"))).first()[0]
+    positives, labelled = marks.agg(F.count_if(F.col("mark") == 1), F.count("mark")).first()
+    # One toxic label in ten is assumed beforehand, so that a few labels cannot make a high prior.
+    prior = (positives + 1) / (labelled + 10)
     toxic = texts.join(marks.where("mark = 1").select("id").distinct(), "id", "left_semi")
     chosen = _sample(toxic, most_positive).withColumn("positive", F.lit(True)).unionByName(
         _sample(texts, most_unlabelled).withColumn("positive", F.lit(False))
@@ -200,7 +202,7 @@ def learn(
         lists = {True: [], False: []}
         for positive, slots in sorted(set(zip(rows["positive"].to_pylist(), rows["slots"].to_pylist()))):
             lists[positive].append(np.frombuffer(slots, np.int32))
-        weights = train(lists[True], lists[False], shares or 0.0)
+        weights = train(lists[True], lists[False], prior)
         heavy = np.flatnonzero(weights)
         return pa.table({"slot": pa.array(heavy, pa.int64()), "weight": pa.array(weights[heavy])})
 
