@@ -27,6 +27,9 @@ DATE_SHAPES = [
     (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
     (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
     (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
+    (r"\d{1,2} [A-Z][a-z]{3,8} \d{4}", "d MMMM yyyy"),
+    (r"[A-Z][a-z]{3,8} \d{1,2}, \d{4}", "MMMM d, yyyy"),
 ]
 TIME_SHAPES = [
     (r" \d{1,2}:\d{2}", " H:mm"),
@@ -34,7 +37,12 @@ TIME_SHAPES = [
     (r" \d{1,2}:\d{2}:\d{2}\.\d{1,6}", " H:mm:ss.[SSSSSS][SSS]"),
     (r"T\d{1,2}:\d{2}:\d{2}", "'T'H:mm:ss"),
     (r"T\d{1,2}:\d{2}:\d{2}\.\d{1,6}", "'T'H:mm:ss.[SSSSSS][SSS]"),
+    (r" \d{1,2}:\d{2} [AP]M", " h:mm a"),
+    (r" \d{1,2}:\d{2}:\d{2} [AP]M", " h:mm:ss a"),
 ]
+# A zone after the clock. The clock is kept as it was written, so the zone is only taken off.
+ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
+ZONED = "[zone]"
 
 
 def standard_names(names: list[str]) -> list[str]:
@@ -92,6 +100,8 @@ def date_pattern(first: str | None) -> str | None:
         for tail, clock in [("", ""), *TIME_SHAPES]:
             if first is not None and re.fullmatch(shape + tail, first):
                 return pattern + clock
+            if first is not None and clock and re.fullmatch(shape + tail + ZONE, first):
+                return pattern + clock + ZONED
     return None
 
 
@@ -106,18 +116,21 @@ def moment(c: Column, dtype: T.DataType, pattern: str | None) -> Column:
         return F.lit(None).cast("timestamp_ntz")
     if pattern is None:
         return F.coalesce(moment(c, dtype, "yyyy-M-d"), moment(c, dtype, "yyyy-M-d H:mm:ss"))
-    if "H" in pattern:
+    if pattern.endswith(ZONED):
+        bare = F.when(c.rlike(ZONE), F.regexp_replace(c, ZONE, ""))
+        return moment(bare, dtype, pattern.removesuffix(ZONED))
+    if "H" in pattern or "h" in pattern:
         return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
     return F.try_to_date(c, pattern).cast("timestamp_ntz")
 
 
-def day(c: Column, dtype: T.DataType) -> Column:
-    """The calendar day of a date, timestamp or ISO text column; null where it is none."""
+def day(c: Column, dtype: T.DataType, pattern: str | None = None) -> Column:
+    """The calendar day of a date, timestamp or text column; null where it is none.
+
+    Text is read by the pattern, or as one of the two ISO forms without one.
+    """
     if isinstance(dtype, T.StringType):
-        return F.coalesce(
-            F.try_to_date(c, "yyyy-M-d"),
-            moment(c, dtype, "yyyy-M-d H:mm:ss").cast("date"),
-        )
+        return moment(c, dtype, pattern).cast("date")
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     return F.lit(None).cast("date")

@@ -4,6 +4,7 @@ Columns whose name starts with an underscore carry lineage and order; no
 cleaning step reads or changes them.
 """
 
+import logging
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions import text
+from starmill.functions.columns import missing, present
 from starmill.functions.fixed import NULL_TOKENS, UNKNOWN
 from starmill.operators.numbering import exact_medians
 
+log = logging.getLogger(__name__)
+
 INT_HINTS = ("int", "int64")
 FLOAT_HINTS = ("float", "float64")
 
@@ -53,17 +57,28 @@ def strip_strings(df: DataFrame) -> DataFrame:
     return _replaced(df, {c: text.stripped(F.col(c)) for c in _string_columns(df)})
 
 
-def null_tokens(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
-    """Null for a string cell that equals one of the tokens as a whole."""
-    return _replaced(
-        df, {c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c in _string_columns(df)}
-    )
+def null_tokens(df: DataFrame, tokens: list[Any] = NULL_TOKENS) -> DataFrame:
+    """Null for a cell that equals one of the tokens as a whole.
+
+    Words are compared with strings, numbers with numbers; a None among the
+    tokens, which is what is replaced by anyway, changes nothing.
+    """
+    words = [t for t in tokens if isinstance(t, str)]
+    numbers = [t for t in tokens if isinstance(t, (int, float)) and not isinstance(t, bool)]
+    changes = {c: F.when(~F.col(c).isin(*words), F.col(c)) for c in _string_columns(df) if words}
+    for c in data_columns(df):
+        if numbers and isinstance(df.schema[c].dataType, T.NumericType):
+            equal = reduce(or_, [F.col(c) == F.lit(t) for t in numbers])
+            changes[c] = F.when(~equal, F.col(c))
+    return _replaced(df, changes)
 
 
 def _present(df: DataFrame, c: str) -> Column:
-    if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-        return F.col(c).isNotNull() & ~F.isnan(c)
-    return F.col(c).isNotNull()
+    return ~missing(F.col(c), df.schema[c].dataType)
+
+
+def _known(df: DataFrame, c: str) -> Column:
+    return present(F.col(c), df.schema[c].dataType)
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
@@ -84,8 +99,8 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """One row: the number of nulls in each data column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in data_columns(df)])
+    """One row: the number of missing values in each data column."""
+    return df.agg(*[F.count_if(~_present(df, c)).alias(c) for c in data_columns(df)])
 
 
 def fill_given(df: DataFrame, values: dict[str, Any]) -> DataFrame:
@@ -102,7 +117,7 @@ def fill_given(df: DataFrame, values: dict[str, Any]) -> DataFrame:
             continue
         else:
             fill = F.lit(value)
-        changes[c] = F.coalesce(F.col(c), fill)
+        changes[c] = F.coalesce(_known(df, c), fill)
     return _replaced(df, changes)
 
 
@@ -120,6 +135,17 @@ class ColumnFacts:
     pattern: dict[str, str | None] = field(default_factory=dict)
 
 
+def known_pattern(column: str, first: str | None) -> str | None:
+    """The pattern of a column's first date; says so if its shape is not known."""
+    pattern = text.date_pattern(first)
+    if first is not None and pattern is None:
+        log.warning(
+            "dates of column %s look like %r, which no known format reads; "
+            "name it in datetime_formats, or all but ISO dates become null", column, first,
+        )
+    return pattern
+
+
 def column_facts(df: DataFrame, config: dict[str, Any]) -> ColumnFacts:
     """Gather the facts the type map and the fill strategy need, in one aggregate.
 
@@ -135,7 +161,7 @@ def column_facts(df: DataFrame, config: dict[str, Any]) -> ColumnFacts:
         dtype, hint = df.schema[c].dataType, hints.get(c, "")
         value = text.number(F.col(c), dtype)
         if filling and (hint or isinstance(dtype, T.NumericType)):
-            measures.append(F.count_if(F.col(c).isNull()).alias(f"null {c}"))
+            measures.append(F.count_if(~_present(df, c)).alias(f"null {c}"))
         if filling and (hint in FLOAT_HINTS or isinstance(dtype, T.NumericType)):
             measures.append(F.avg(value).cast("double").alias(f"mean {c}"))
         if hint in INT_HINTS + FLOAT_HINTS and isinstance(dtype, T.StringType):
@@ -176,7 +202,7 @@ def column_facts(df: DataFrame, config: dict[str, Any]) -> ColumnFacts:
         elif kind == "stuck" and value:
             facts.not_castable.add(c)
         elif kind == "first":
-            facts.pattern[c] = text.date_pattern(value)
+            facts.pattern[c] = known_pattern(c, value)
 
     wanted = {
         c: text.number(F.col(c), df.schema[c].dataType)
@@ -194,7 +220,7 @@ def fill_missing(df: DataFrame, config: dict[str, Any], facts: ColumnFacts) -> D
     changes = {}
     for c in data_columns(df):
         dtype, hint = df.schema[c].dataType, hints.get(c, "")
-        known = F.col(c)
+        known = _known(df, c)
         if hint in INT_HINTS:
             if c in facts.has_null:
                 fill = F.lit(facts.median.get(c, 0)).cast(dtype)

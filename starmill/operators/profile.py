@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.functions.columns import missing
 from starmill.functions.text import row_digest
 
 FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
@@ -24,7 +25,7 @@ def quality_report(df: DataFrame, duplicates: bool = True) -> DataFrame:
     """
     columns = df.columns
     gaps = F.concat(*[
-        F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in columns
+        F.when(missing(F.col(f"`{c}`"), df.schema[c].dataType), "1").otherwise("0") for c in columns
     ]).alias("gaps")
     if duplicates:
         digest = row_digest({f.name: f.dataType for f in df.schema.fields})
@@ -81,7 +82,7 @@ def table_profile(df: DataFrame) -> DataFrame:
     """One row per column of a stored table, with its nulls and the nulls of the table."""
     counted = df.agg(
         F.count("*").alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
+        *[F.count_if(missing(F.col(c), df.schema[c].dataType)).alias(f"n{i}") for i, c in enumerate(df.columns)],
     )
     total_nulls = sum((F.col(f"n{i}") for i in range(len(df.columns))), F.lit(0))
     rows = F.array(*[
@@ -115,7 +116,7 @@ def dimension_stats(df: DataFrame, name: str) -> DataFrame:
     return df.agg(
         F.count("*").alias("row_count"),
         F.sum(size.cast("long")).alias("bytes"),
-        *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
+        *[F.count_if(missing(F.col(c), df.schema[c].dataType)).alias(f"n{i}") for i, c in enumerate(df.columns)],
     ).select(
         F.lit(name).alias("dimension"),
         "row_count",

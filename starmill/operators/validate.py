@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions import text
+from starmill.functions.columns import missing
 
 
 @dataclass
@@ -38,7 +39,7 @@ def checks(df: DataFrame, rules: dict[str, dict[str, Any]]) -> list[Check]:
         value = text.number(here, dtype)
         word = text.value_text(here, dtype)
         if rule.get("required"):
-            out.append(Check(c, "required", here.isNull(), "null value(s)"))
+            out.append(Check(c, "required", missing(here, dtype), "null value(s)"))
         if "min_value" in rule:
             low = rule["min_value"]
             out.append(Check(c, "min_value", value < low, f"value(s) below min ({low})"))
@@ -82,8 +83,8 @@ def report_from(
     violations: dict[str, list[str]] = {}
     for c, rule in rules.items():
         if c not in df.columns:
-            missing = [f"Column '{c}' is missing from dataset"] if rule.get("required") else []
-            violations[c] = missing
+            absent = [f"Column '{c}' is missing from dataset"] if rule.get("required") else []
+            violations[c] = absent
     for k in checks(df, rules):
         n = counts.get(f"{k.rule} {k.column}", 0)
         if n:

@@ -90,7 +90,7 @@ def _run(spark: SparkSession, spec: dict[str, Any]) -> dict[str, Any]:
         if not rows_extracted:
             return {"status": "failed", "reason": "Empty extract", "metrics": clock.phases}
 
-        cleaned = staged_clean(landed, spec)
+        cleaned = materialize(staged_clean(landed, spec), "cleaned")
         with_duplicates = spec.get("count_duplicates", True)
         quality = report_dict(quality_report(cleaned.drop("_ord"), with_duplicates))
         clock.mark("clean")

@@ -10,10 +10,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.functions.calendar import date_key
 from starmill.functions.fixed import B2B_COUNTRIES, REGIONS
 from starmill.functions.text import day, number
+from starmill.operators.clean import known_pattern
 from starmill.operators.dimensions import (
     customer_dimension,
     date_dimension_for,
@@ -28,10 +30,11 @@ from starmill.plans.warehouse import (
     Snapshot,
     Warehouse,
     checked_counts,
+    order_bucket,
 )
 from starmill.workspace import materialize, temporary_tables
 
-# Folders a year of facts may consist of before a load merges them.
+# Folders a year and bucket of facts may consist of before a load merges them.
 MOST_LOADS = 32
 
 MEASURES = ["quantity", "unit_price", "discount", "total_amount"]
@@ -108,6 +111,16 @@ def key_map(dimension: DataFrame, table: str) -> DataFrame:
     return dimension.select(BUSINESS_KEYS[table], KEYS[table])
 
 
+def dated(sales: DataFrame) -> DataFrame:
+    """The batch with its dates as dates: text follows the format of the first one, as in cleaning."""
+    dtype = sales.schema["order_date"].dataType
+    if not isinstance(dtype, T.StringType):
+        return sales
+    place = F.when(F.col("order_date").isNotNull(), F.col("_ord"))
+    first = sales.agg(F.min_by("order_date", place)).first()[0]
+    return sales.withColumn("order_date", day(F.col("order_date"), dtype, known_pattern("order_date", first)))
+
+
 def resolve_facts(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Fact columns with surrogate keys; ``_dropped`` says why a row cannot be loaded.
 
@@ -151,16 +164,35 @@ def load_measures() -> dict[str, Column]:
     }
 
 
-def reload(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Facts after a load: rows of the batch's orders replaced, all others kept."""
-    orders = batch.select("order_id").where("order_id IS NOT NULL").distinct()
-    return existing.join(orders, "order_id", "left_anti").unionByName(
-        batch, allowMissingColumns=True
-    )
+def reload(existing: DataFrame, orders: DataFrame) -> DataFrame:
+    """Stored facts without the lines of the orders that are loaded again."""
+    return existing.join(orders.where("order_id IS NOT NULL"), "order_id", "left_anti")
+
+
+def part_of(folder: str) -> str:
+    """Year and bucket of a folder of facts, whatever load wrote it."""
+    return folder.split("/", 2)[2]
 
 
-def year_of(folder: str) -> int:
-    return int(folder.rsplit("=", 1)[1])
+def folders_with(warehouse: Warehouse, base: Snapshot, batch: DataFrame) -> dict[str, int]:
+    """The fact's folders that hold lines of the batch's orders, and how many.
+
+    Only folders of buckets the batch has orders in are scanned, and of those one
+    column. The driver sees one row per folder.
+    """
+    orders = batch.select("order_id").distinct()
+    buckets = {r[0] for r in orders.select(order_bucket()).distinct().collect()}
+    scanned = [f for f in base.tables[FACT] if int(f.rsplit("=", 1)[1]) in buckets]
+    if not scanned:
+        return {}
+    stored = warehouse.read(FACT, scanned, place=True)
+    found = stored.select("order_id", "_place").join(orders, "order_id", "left_semi")
+    return {
+        f"{FACT}/{r['folder']}": r["count"]
+        for r in found.groupBy(
+            F.regexp_extract("_place", f"/{FACT}/(load=[^/]*/[^/]*/[^/]*)/[^/]*$", 1).alias("folder")
+        ).count().collect()
+    }
 
 
 @dataclass
@@ -225,21 +257,31 @@ def load_star(
     regions: dict[str, str] = REGIONS,
     b2b: list[str] = B2B_COUNTRIES,
     now: datetime | None = None,
-) -> Loaded:
+    most_loads: int = MOST_LOADS,
+    stream: tuple[str, int] | None = None,
+) -> Loaded | None:
     """Load a batch of transactions: all tables become visible together, or none.
 
-    ``sales`` must be a written table (it is read once per output) and carry ``_ord``.
+    ``sales`` must be a written table (it is read once per output) and carry
+    ``_ord``. A batch replaces the stored lines of its orders. A batch of a
+    ``stream``, given as the stream's name and the batch's number, adds its lines
+    instead, for the other lines of an order may have come in an earlier one; a
+    number the warehouse has seen is loaded already, and nothing is done. Parts
+    of the fact in more than ``most_loads`` folders are merged.
     """
     with temporary_tables(warehouse.spark):
-        return _load_star(warehouse, sales, regions, b2b, now)
+        return _load_star(warehouse, sales, regions, b2b, now, most_loads, stream)
 
 
 def _load_star(
     warehouse: Warehouse, sales: DataFrame, regions: dict[str, str], b2b: list[str],
-    now: datetime | None,
-) -> Loaded:
+    now: datetime | None, most_loads: int, stream: tuple[str, int] | None,
+) -> Loaded | None:
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     base = warehouse.current()
+    if stream and base.streams.get(stream[0], -1) >= stream[1]:
+        return None
+    sales = dated(sales)
     version = base.version + 1
     customers, products, dates = side_by_side([
         lambda: load_dimension(
@@ -264,6 +306,8 @@ def _load_star(
         start,
     )
     counts = checked_counts(facts, FACT, load_measures(), F.col("_dropped").isNull())
+    if counts["rows_in"] and counts["invalid_dates"] == counts["rows_in"]:
+        raise ValueError("no order_date of the batch can be read; see the log for its format")
     loadable = facts.where("_dropped IS NULL").drop("_dropped", "_ord")
     next_key[FACT] = start + counts["rows_loaded"]
     batch = loadable.withColumns({
@@ -271,23 +315,18 @@ def _load_star(
         "sale_year": F.floor(F.col("date_key") / 10000).cast("int"),
     })
 
-    # Only years that hold rows of reloaded orders, or too many small loads, are rewritten.
+    # Only folders that hold rows of reloaded orders, or too many small ones, are rewritten.
     folders = list(base.tables.get(FACT, []))
-    replaced = 0
-    if folders:
-        existing = warehouse.table(FACT, base)
-        orders = batch.select("order_id").distinct()
-        hit = {
-            r["sale_year"]: r["count"]
-            for r in existing.join(orders, "order_id", "left_semi")
-            .groupBy("sale_year").count().collect()
-        }
-        replaced = sum(hit.values())
-        loads = Counter(year_of(f) for f in folders)
-        rewritten = set(hit) | {year for year, n in loads.items() if n >= MOST_LOADS}
-        if rewritten:
-            batch = reload(existing.where(F.col("sale_year").isin(*rewritten)), batch)
-            folders = [f for f in folders if year_of(f) not in rewritten]
+    hit = {} if stream or not folders else folders_with(warehouse, base, batch)
+    parts = Counter(part_of(f) for f in folders)
+    rewritten = [f for f in folders if f in hit or parts[part_of(f)] >= most_loads]
+    if rewritten:
+        kept = warehouse.read(FACT, rewritten)
+        if not stream:
+            kept = reload(kept, batch.select("order_id").distinct())
+        batch = kept.unionByName(batch, allowMissingColumns=True)
+        folders = [f for f in folders if f not in set(rewritten)]
+    replaced = sum(hit.values())
     tables[FACT] = folders + warehouse.write(batch, FACT, version)
 
     orphans = {
@@ -302,7 +341,7 @@ def _load_star(
     }
     if any(orphans.values()):
         raise ValueError(f"referential integrity violated: {orphans}")
-    warehouse.publish(base, tables, next_key)
+    warehouse.publish(base, tables, next_key, dict([stream]) if stream else {})
     return Loaded(
         version, dates.counts["new"], customers.counts, products.counts, counts, replaced, orphans,
     )

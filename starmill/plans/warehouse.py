@@ -18,6 +18,8 @@ from starmill.operators.profile import uniqueness
 from starmill.workspace import Files
 
 FACT = "fact_sales"
+# Parts of a year of facts, by a hash of the order; a reloaded order rewrites one of them.
+BUCKETS = 4
 KEYS = {
     "dim_date": "date_key",
     "dim_customer": "customer_key",
@@ -57,6 +59,10 @@ CHECKS = {
 }
 
 
+def order_bucket() -> Column:
+    return F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).cast("int").alias("order_bucket")
+
+
 class ConstraintError(ValueError):
     """Rows that break a table's constraints; nothing was written."""
 
@@ -93,11 +99,13 @@ def schemas(money: str = "double") -> dict[str, T.StructType]:
 
 @dataclass
 class Snapshot:
-    """Folders of each table, and the next surrogate key of each sequence."""
+    """Folders of each table, the next surrogate key of each sequence, and the last
+    batch of each stream that is loaded."""
 
     version: int = 0
     tables: dict[str, list[str]] = field(default_factory=dict)
     next_key: dict[str, int] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
 
 
 class Warehouse:
@@ -116,10 +124,14 @@ class Warehouse:
             return Snapshot()
         return Snapshot(**json.loads(self._files.read_text(f"{self.root}/_snapshots/{names[-1]}")))
 
-    def publish(self, base: Snapshot, tables: dict[str, list[str]], next_key: dict[str, int]):
+    def publish(
+        self, base: Snapshot, tables: dict[str, list[str]], next_key: dict[str, int],
+        streams: dict[str, int] | None = None,
+    ) -> Snapshot:
         """Make a load visible. Fails if another load was published since ``base``."""
         new = Snapshot(
-            base.version + 1, {**base.tables, **tables}, {**base.next_key, **next_key}
+            base.version + 1, {**base.tables, **tables}, {**base.next_key, **next_key},
+            {**base.streams, **(streams or {})},
         )
         self._files.create_once(
             f"{self.root}/_snapshots/{new.version:012d}.json", json.dumps(vars(new))
@@ -130,12 +142,34 @@ class Warehouse:
 
     def table(self, name: str, at: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot; a table never loaded has no rows."""
+        return self.read(name, (at or self.current()).tables.get(name, []))
+
+    def read(self, name: str, folders: list[str], place: bool = False) -> DataFrame:
+        """The rows in some folders of a table; ``place`` adds the file of each as ``_place``."""
         schema = self.schemas[name]
-        folders = (at or self.current()).tables.get(name, [])
         if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
-        return reader.parquet(*[f"{self.root}/{f}" for f in folders]).select(*schema.names)
+        files = [F.col("_metadata.file_path").alias("_place")] if place else []
+        return reader.parquet(*[f"{self.root}/{f}" for f in folders]).select(*schema.names, *files)
+
+    def clean_up(self, keep: int = 10) -> list[str]:
+        """Remove folders that none of the newest ``keep`` snapshots names, and older snapshots.
+
+        Folders of loads that failed go as well, so no load may be running.
+        """
+        folder = f"{self.root}/_snapshots"
+        names = [n for n in self._files.names(folder) if n.endswith(".json")]
+        kept = [Snapshot(**json.loads(self._files.read_text(f"{folder}/{n}"))) for n in names[-keep:]]
+        used = {f for s in kept for folders in s.tables.values() for f in folders}
+        used_loads = {"/".join(f.split("/")[:2]) for f in used}
+        removed = [
+            f"{name}/{load}" for name in self.schemas for load in self._files.names(f"{self.root}/{name}")
+            if f"{name}/{load}" not in used_loads
+        ]
+        for path in [*removed, *(f"_snapshots/{n}" for n in names[:-keep])]:
+            self._files.remove(f"{self.root}/{path}")
+        return removed
 
     def write(self, df: DataFrame, name: str, version: int) -> list[str]:
         """Write new files of a table and return their folders; readers do not see them yet.
@@ -149,11 +183,14 @@ class Warehouse:
         if name != FACT:
             out.write.parquet(f"{self.root}/{folder}")
             return [folder]
-        # One writer per year and advisory size: large years are split, small ones merged.
-        balanced = out.hint("rebalance", "sale_year")
-        balanced.write.partitionBy("sale_year").parquet(f"{self.root}/{folder}")
-        years = self._files.names(f"{self.root}/{folder}")
-        return [f"{folder}/{y}" for y in years if y.startswith("sale_year=")]
+        # One writer per part and advisory size: large parts are split, small ones merged.
+        balanced = out.withColumn("order_bucket", order_bucket()).hint("rebalance", "sale_year", "order_bucket")
+        balanced.write.partitionBy("sale_year", "order_bucket").parquet(f"{self.root}/{folder}")
+        return [
+            f"{folder}/{year}/{part}"
+            for year in self._files.names(f"{self.root}/{folder}") if year.startswith("sale_year=")
+            for part in self._files.names(f"{self.root}/{folder}/{year}") if part.startswith("order_bucket=")
+        ]
 
     # Contract
 

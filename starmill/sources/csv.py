@@ -23,19 +23,13 @@ def charset(encoding: str) -> str:
     return CHARSETS.get(codecs.lookup(encoding).name, encoding)
 
 
-def may_split(raw: DataFrame, path: str | list[str], encoding: str) -> bool:
-    """Whether splitting the files gains something and cuts no quoted line break.
+def lines_are_rows(spark: SparkSession, path: str | list[str], encoding: str) -> bool:
+    """Whether every line of the files is a row, so that they can be split between tasks.
 
-    Files that fit one task are not looked at. Larger ones are searched for a
-    line with an odd number of quotes; without one, every line is a row.
+    Decided by what the files hold, never by their size: a line with an odd
+    number of quotes begins or ends a cell that goes on in the next one.
     """
-    spark = raw.sparkSession
-    one_task = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    total = raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(total)) <= one_task or charset(encoding).startswith(("UTF-16", "UTF-32")):
-        return False
-    files = spark.read.format("binaryFile").load(path)
-    if files.agg(F.max("length")).first()[0] <= one_task:
+    if charset(encoding).startswith(("UTF-16", "UTF-32")):
         return False
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return spark.read.text(path).where(quotes % 2 == 1).isEmpty()
@@ -48,22 +42,25 @@ def read_csv(
     encoding: str = "utf-8",
     multiline: bool | None = None,
 ) -> DataFrame:
-    """Scan CSV files that share one header.
+    """Scan CSV files that share one header, or the .csv files of a folder.
 
-    Cells may hold line breaks inside quotes. A file that has some cannot be
-    split between tasks; large files are checked for them and split if they have
-    none. Pass ``multiline`` where the answer is known.
+    Cells may hold line breaks inside quotes. Files that have some cannot be
+    split between tasks, and one pass over the text finds out. ``multiline``
+    says it where it is known, and saves that pass. A file whose header differs
+    from the first one's is an error.
     """
-    def scan(whole_files: bool) -> DataFrame:
-        return spark.read.csv(
+    if isinstance(path, str) and Files(spark).is_dir(path):
+        united = read_csv_directory(spark, path, delimiter, encoding, multiline)
+        if united is None:
+            raise FileNotFoundError(f"no CSV file in: {path}")
+        return united
+    try:
+        if multiline is None:
+            multiline = not lines_are_rows(spark, path, encoding)
+        raw = spark.read.csv(
             path, header=True, sep=delimiter, encoding=charset(encoding), quote='"', escape='"',
-            multiLine=whole_files, inferSchema=False, enforceSchema=True,
+            multiLine=multiline, inferSchema=False, enforceSchema=False,
         )
-
-    try:
-        raw = scan(multiline is not False)
-        if multiline is None and may_split(raw, path, encoding):
-            raw = scan(False)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"CSV file not found: {path}") from error

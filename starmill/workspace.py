@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: dict[str, str] = {}
@@ -71,6 +72,7 @@ class Files:
     """The few file-system calls Spark's readers and writers do not offer."""
 
     def __init__(self, spark: SparkSession):
+        self._gateway = spark.sparkContext._gateway
         self._jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -141,6 +143,24 @@ class Files:
         stream = fs.create(temp, False)
         stream.write(bytearray(text.encode()))
         stream.close()
-        if fs.exists(p) or not fs.rename(temp, p):
+        try:
+            self._name_once(fs, temp, p)
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in str(error):
+                raise
+            raise FileExistsError(path) from error
+        finally:
             fs.delete(temp, False)
-            raise FileExistsError(path)
+
+    def _name_once(self, fs, temp, p) -> None:
+        """Give a file its final name, in one step that fails if the name is taken."""
+        if fs.getUri().getScheme() == "file":
+            nio = self._jvm.java.nio.file
+            at = [nio.Paths.get(self._jvm.java.io.File(x.toUri().getPath()).toURI()) for x in (p, temp)]
+            nio.Files.createLink(*at)
+            return
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self._conf)
+        context.rename(temp, p, options)

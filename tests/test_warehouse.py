@@ -9,7 +9,7 @@ from starmill.operators.dimensions import customer_dimension, date_dimension, pr
 from starmill.operators.sinks import FlatStore, export_csv, export_json
 from starmill.plans import analytics
 from starmill.plans.star_load import load_star
-from starmill.plans.warehouse import FACT, ConstraintError, ContractError, Warehouse
+from starmill.plans.warehouse import BUCKETS, FACT, ConstraintError, ContractError, Warehouse
 from starmill.sources.generate import generate_sales
 from starmill.workspace import materialize
 
@@ -115,16 +115,60 @@ def test_partial_reload_rewrites_only_touched_years(spark, tmp_path):
     assert warehouse.table("dim_customer").count() == 3
 
 
-def test_many_small_loads_are_merged(spark, tmp_path, monkeypatch):
-    from starmill.plans import star_load
-
-    monkeypatch.setattr(star_load, "MOST_LOADS", 2)
+def test_many_small_loads_are_merged(spark, tmp_path):
     warehouse = Warehouse(spark, f"file:{tmp_path}/w")
-    for n in range(4):
-        load_star(warehouse, sales(spark, sale(1, f"O{n}", "2022-05-01", "C1", "P1")))
-    assert len(warehouse.current().tables[FACT]) < 4
+    for n in range(7):
+        load_star(warehouse, sales(spark, sale(1, f"O{n}", "2022-05-01", "C1", "P1")), most_loads=1)
+    assert len(warehouse.current().tables[FACT]) <= BUCKETS
     found = warehouse.table(FACT).orderBy("sale_id").collect()
-    assert [(r["sale_id"], r["order_id"]) for r in found] == [(n + 1, f"O{n}") for n in range(4)]
+    assert [(r["sale_id"], r["order_id"]) for r in found] == [(n + 1, f"O{n}") for n in range(7)]
+
+
+def test_a_reloaded_order_rewrites_its_own_parts_only(spark, tmp_path):
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    rows = [sale(n, f"O{n}", f"202{n % 3}-05-01", "C1", "P1") for n in range(60)]
+    load_star(warehouse, sales(spark, *rows))
+    before = warehouse.current().tables[FACT]
+    load_star(warehouse, sales(spark, sale(1, "O7", "2021-05-01", "C1", "P1", quantity=9)))
+    after = warehouse.current().tables[FACT]
+    assert len(set(before) - set(after)) == 1 and len(set(after) - set(before)) == 1
+    found = warehouse.table(FACT)
+    assert found.count() == 60 and found.where("order_id = 'O7'").first()["quantity"] == 9
+    removed = warehouse.clean_up(keep=1)
+    assert any(name.startswith("dim_customer/") for name in removed)
+    assert warehouse.table(FACT).count() == 60 and warehouse.table("dim_customer").count() == 1
+
+
+@pytest.mark.parametrize("written, key", [
+    ("January 5, 2024", 20240105), ("05-Jan-2024", 20240105), ("2024/01/05", 20240105),
+    ("2024-01-05T10:00:00", 20240105), ("2024-01-05T23:30:00Z", 20240105),
+    ("2024-01-05 23:30:00+05:00", 20240105), ("1/5/2024 11:15 PM", 20240105),
+])
+def test_dates_follow_the_first_one(spark, tmp_path, written, key):
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    loaded = load_star(warehouse, sales(
+        spark, sale(1, "O1", written, "C1", "P1"), sale(2, "O2", "never", "C1", "P1"),
+    ))
+    assert loaded.facts["rows_loaded"] == 1 and loaded.facts["invalid_dates"] == 1
+    assert warehouse.table(FACT).first()["date_key"] == key
+
+
+def test_a_batch_without_readable_dates_fails(spark, tmp_path):
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    with pytest.raises(ValueError, match="order_date"):
+        load_star(warehouse, sales(spark, sale(1, "O1", "Tuesday", "C1", "P1")))
+    assert warehouse.current().version == 0
+
+
+def test_a_stream_adds_lines_and_passes_over_replays(spark, tmp_path):
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    first = sales(spark, sale(1, "O1", "2024-01-05", "C1", "P1"))
+    second = sales(spark, sale(1, "O1", "2024-01-05", "C1", "P2"), sale(2, "O2", "2024-01-05", "C1", "P1"))
+    assert load_star(warehouse, first, stream=("s", 0)).facts["rows_loaded"] == 1
+    assert load_star(warehouse, second, stream=("s", 1)).facts["rows_loaded"] == 2
+    assert load_star(warehouse, second, stream=("s", 1)) is None
+    assert load_star(warehouse, first, stream=("s", 0)) is None
+    assert warehouse.table(FACT).count() == 3
 
 
 def test_intermediate_tables_are_removed(spark, tmp_path):
@@ -165,6 +209,28 @@ def test_concurrent_loads_conflict(spark, tmp_path):
         warehouse.publish(base, {}, {})
 
 
+def test_of_writers_at_once_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from starmill.workspace import Files
+
+    files, start = Files(spark), Barrier(6)
+
+    def write(n):
+        start.wait()
+        try:
+            files.create_once(f"file:{tmp_path}/s/1.json", str(n))
+            return n
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        won = [n for n in pool.map(write, range(6)) if n is not None]
+    assert len(won) == 1 and files.read_text(f"file:{tmp_path}/s/1.json") == str(won[0])
+    assert files.names(f"file:{tmp_path}/s") == ["1.json"]
+
+
 def test_contract_and_rebuild(spark, tmp_path):
     warehouse = Warehouse(spark, f"file:{tmp_path}/w")
     load_star(warehouse, sales(spark, sale(1, "O1", "2024-01-01", "C1", "P1")))
