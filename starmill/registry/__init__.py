@@ -5,6 +5,7 @@ from starmill.registry import (
     cleaning,
     dimensions,
     duplicates,
+    joins,
     loads,
     reports,
     rules,
@@ -15,7 +16,7 @@ from starmill.registry import (
 QUERIES = {
     name: pair
     for module in (
-        scans, cleaning, rules, duplicates, reports, dimensions, loads, analytics, streams,
+        scans, cleaning, rules, duplicates, reports, dimensions, loads, analytics, joins, streams,
     )
     for name, pair in module.QUERIES.items()
 }

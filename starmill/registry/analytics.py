@@ -248,11 +248,11 @@ UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL FROM supplier"""
 
 QUERIES = {
     "jon_1": (star_view, STAR_VIEW),
-    "jon_2": (left_join, LEFT_JOIN),
-    "jon_3": (lookup_join, LOOKUP_JOIN),
-    "jon_4": (anti_join, ANTI_JOIN),
-    "jon_5": (semi_join, SEMI_JOIN),
-    "jon_6": (full_join, FULL_JOIN),
+    "jon_2_plain": (left_join, LEFT_JOIN),
+    "jon_3_plain": (lookup_join, LOOKUP_JOIN),
+    "jon_4_plain": (anti_join, ANTI_JOIN),
+    "jon_5_plain": (semi_join, SEMI_JOIN),
+    "jon_6_plain": (full_join, FULL_JOIN),
     "agg_1": (monthly, MONTHLY),
     "agg_2": (leaders, LEADERS),
     "agg_3": (categories, CATEGORIES),

@@ -256,7 +256,53 @@ NEXT_PAGE = """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 20"""
 
 
+def number_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and numbers as null tokens, None among them, on columns of several types."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    first = parts.agg(F.min("p_brand")).first()[0]
+    return c.null_tokens(parts, [first, None, 7, -1])
+
+
+NUMBER_TOKENS = """
+SELECT nullif(p_partkey, 7) AS p_partkey,
+       CASE WHEN p_brand <> (SELECT min(p_brand) FROM part) THEN p_brand END AS p_brand,
+       nullif(p_size, 7) AS p_size, nullif(p_retailprice, 7) AS p_retailprice FROM part"""
+
+
+def with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account balances, where a debt is not a number and a small one unknown."""
+    balance = F.col("c_acctbal")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(balance < 0, F.lit(float("nan"))).when(balance > 100, balance).alias("balance"),
+    )
+
+
+def nan_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is not a number is filled like a null, by the mean of the numbers."""
+    rows = with_nan(spark, sf_dir)
+    config = {"null_strategy": "fill"}
+    filled_rows = c.fill_missing(rows, config, c.column_facts(rows, config))
+    return filled_rows.select("c_custkey", F.col("balance").cast("decimal(18,2)").alias("balance"))
+
+
+NAN_FILLED = """
+SELECT c_custkey, CAST(CASE WHEN c_acctbal > 100 THEN c_acctbal
+  ELSE (SELECT avg(c_acctbal) FROM customer WHERE c_acctbal > 100) END AS DECIMAL(18,2)) AS balance
+FROM customer"""
+
+
+def nan_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c.null_counts(with_nan(spark, sf_dir))
+
+
+NAN_REPORTED = """
+SELECT 0::BIGINT AS c_custkey, count(*) FILTER (WHERE NOT c_acctbal > 100) AS balance FROM customer"""
+
 QUERIES = {
+    "cln_3_numbers": (number_tokens, NUMBER_TOKENS),
+    "cln_7_nan": (nan_filled, NAN_FILLED),
+    "cln_9_nan": (nan_reported, NAN_REPORTED),
     "cln_1": (standard_names, STANDARD_NAMES),
     "cln_2": (stripped_text, STRIPPED_TEXT),
     "cln_3": (tokens_null, TOKENS_NULL),

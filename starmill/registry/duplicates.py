@@ -133,5 +133,5 @@ QUERIES = {
     ),
     "dup_6": (hashed, HASHED),
     "dup_7": (reported, REPORTED),
-    "set_2": (distinct_keys, DISTINCT_KEYS),
+    "set_2_plain": (distinct_keys, DISTINCT_KEYS),
 }

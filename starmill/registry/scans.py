@@ -18,7 +18,7 @@ from starmill.sources.extract import extract
 from starmill.sources.generate import sample_sales
 from starmill.sources.json import read_json
 from starmill.sources.sql import list_tables, read_query, read_table
-from starmill.workspace import scratch_path
+from starmill.workspace import materialize, scratch_path
 
 
 def csv_of(df: DataFrame, path: str) -> str:
@@ -53,6 +53,52 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, text,
 FROM documents"""
 
 
+def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items without quotes, read by tasks of 64 KB."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    path = csv_of(lines.coalesce(1), scratch_path(spark, "csv"))
+    limit = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, 65536)
+    try:
+        rows = materialize(read_csv(spark, path), "split")
+    finally:
+        spark.conf.set(limit, before)
+    return rows.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+CSV_SPLIT = """
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
+       l_returnflag, l_linestatus FROM lineitem"""
+
+
+def csv_spec_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder as one source of a spec; its files have their columns in different orders."""
+    folder = scratch_path(spark, "folder")
+    parts = table(spark, sf_dir, "part")
+    csv_of(parts.where("p_size <= 25").select("p_partkey", "p_brand"), folder)
+    csv_of(parts.where("p_size > 25").select("p_brand", "p_partkey"), folder)
+    rows = extract(spark, {"sources": [{"type": "CSV", "path": folder}]}).rows
+    return rows.select("p_partkey", "p_brand", "_source_type")
+
+
+CSV_SPEC_FOLDER = """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_brand, 'CSV' AS _source_type FROM part"""
+
+
+def json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose root is an array, one per market segment."""
+    records = F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    path = scratch_path(spark, "json")
+    customers = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.to_json(records).alias("value"))
+    customers.select("value").repartition(8).write.option("maxRecordsPerFile", 1).text(path)
+    files = [f for f in customers.sparkSession.read.text(path).inputFiles()]
+    return read_json(spark, files).select("id", "name", "_source_type")
+
+
+JSON_DOCUMENT = "SELECT c_custkey AS id, c_name AS name, 'JSON' AS _source_type FROM customer"
+
+
 def csv_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "folder")
     csv_of(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), folder)
@@ -271,7 +317,8 @@ WITH drawn AS (
          CAST({_shares(DISCOUNTS)}[{_draw('discount', 100)} + 1] AS INTEGER) AS discount
   FROM orders),
 named AS (
-  SELECT *, {_list(CUSTOMER_NAMES)}[customer % 20 + 1] AS customer_name, product % 20 + 1 AS kind
+  SELECT *, {_list(CUSTOMER_NAMES)}[customer % {len(CUSTOMER_NAMES)} + 1] AS customer_name,
+         product % {len(PRODUCTS)} + 1 AS kind
   FROM drawn)
 SELECT {padded_sql('o_orderkey + 1', 'ORD', 6)} AS order_id,
        CAST(CAST(DATE '{FIRST_DAY}' + CAST({_draw('day', DAYS)} AS INTEGER) AS DATE) AS VARCHAR)
@@ -291,6 +338,9 @@ FROM named"""
 
 QUERIES = {
     "src_1": (csv_scan, CSV_SCAN),
+    "src_1_split": (csv_split, CSV_SPLIT),
+    "src_2_spec": (csv_spec_folder, CSV_SPEC_FOLDER),
+    "src_3_document": (json_document, JSON_DOCUMENT),
     "src_2": (csv_directory, CSV_DIRECTORY),
     "src_3": (json_arrays, JSON_ARRAYS),
     "src_4": (json_nested, JSON_NESTED),

@@ -210,3 +210,19 @@ def test_numbers_are_dense_and_ordered(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert sorted((r["k"], r["n"]) for r in rows) == [(k, k + 11) for k in range(5000)]
+
+
+def test_tokens_of_any_type(spark):
+    df = spark.createDataFrame([("x", -1, -1.0), ("N/A", 5, 2.5), ("-1", 7, float("nan"))], "a string, b long, c double")
+    rows = c.null_tokens(df, ["N/A", None, -1]).collect()
+    assert [r["a"] for r in rows] == ["x", None, "-1"]
+    assert [r["b"] for r in rows] == [None, 5, 7]
+    assert [r["c"] for r in rows][:2] == [None, 2.5]
+
+
+def test_what_is_no_number_is_filled(spark):
+    df = spark.createDataFrame([(1.5,), (2.5,), (float("nan"),), (None,)], "v double")
+    config = {"null_strategy": "fill"}
+    assert c.null_counts(df).first()["v"] == 2
+    found = c.fill_missing(df, config, c.column_facts(df, config))
+    assert [r["v"] for r in found.collect()] == [1.5, 2.5, 2.0, 2.0]

@@ -187,3 +187,27 @@ def test_generated_sales_add_up_and_repeat(spark):
         exact = r["quantity"] * r["unit_price"] * (100 - r["discount"]) / 100
         assert abs(r["total_amount"] - exact) <= 0.005 + 1e-9 if isinstance(exact, float) else True
     assert len({r["country"] for r in found}) == 5
+
+
+@pytest.mark.parametrize("content", [
+    "n,t\n1,a\rb\n2,c\n", "n,t\n1,a\n   \n2,c\n", 'n,t\n1,"a\nb"\n2,c\n', "n,t\r\n1,a\r\n2,c\r\n",
+])
+def test_rows_do_not_depend_on_the_size_of_a_task(spark, tmp_path, content):
+    path = write(tmp_path / "f.csv", content + "".join(f"{k},x\n" for k in range(3, 40)))
+    found = []
+    for limit in ("64", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+        try:
+            found.append(sorted(map(repr, read_csv(spark, path).select("n", "t").collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1]
+
+
+def test_a_folder_is_read_by_each_files_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "id,amt\n1,10\n")
+    write(tmp_path / "b.csv", "amt,id\n200,2\n")
+    write(tmp_path / "c.txt", "id,amt\n9,9\n")
+    assert sorted(values(read_csv(spark, str(tmp_path)), "id", "amt")) == [("1", "10"), ("2", "200")]
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], multiline=True).collect()
