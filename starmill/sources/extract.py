@@ -36,11 +36,15 @@ def _open(spark: SparkSession, source: dict[str, Any]) -> DataFrame | None:
             spark, source.get("path", ""), **{k: source[k] for k in names if k in source}
         )
     if kind == "SQL":
-        options = {k: source[k] for k in ("order_by",) if k in source}
+        def options(*names: str) -> dict[str, Any]:
+            return {k: source[k] for k in ("order_by", *names) if k in source}
+
         if source.get("query"):
-            return read_query(spark, source["query"], db=source.get("path"), **options)
+            return read_query(spark, source["query"], db=source.get("path"), **options("params"))
         if source.get("table"):
-            return read_table(spark, source["table"], db=source.get("path"), **options)
+            return read_table(
+                spark, source["table"], db=source.get("path"), **options("where", "split")
+            )
         raise ValueError("SQL source must specify 'table' or 'query'")
     log.warning("unknown source type %s, skipped", kind)
     return None

@@ -211,3 +211,12 @@ def test_a_folder_is_read_by_each_files_header(spark, tmp_path):
     assert sorted(values(read_csv(spark, str(tmp_path)), "id", "amt")) == [("1", "10"), ("2", "200")]
     with pytest.raises(Exception, match="header"):
         read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], multiline=True).collect()
+
+
+def test_sql_options_of_a_spec(spark):
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, v string").createOrReplaceTempView("t_spec")
+    spec = {"sources": [
+        {"type": "SQL", "table": "t_spec", "where": "id > 2"},
+        {"type": "SQL", "query": "SELECT * FROM t_spec WHERE id = ?", "params": [1]},
+    ]}
+    assert sorted(values(extract(spark, spec).rows, "id", "v")) == [(1, "a"), (3, "c")]
