@@ -8,6 +8,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from starmill.llm.common import sole
+
 # White space as the pre-tokenizer's pattern knows it.
 BLANK = "".join(map(chr, [
     *range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
@@ -35,10 +37,17 @@ def byte_alphabet() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def vocabulary(path: str) -> "ByteBpe":
+def _loaded(path: str) -> "ByteBpe":
     return ByteBpe(path)
 
 
+def vocabulary(path: str) -> "ByteBpe":
+    """The vocabulary at a path, loaded once a worker."""
+    bpe = _loaded(path)
+    sole(bpe.kept)
+    return bpe
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary file of the tokenizers library.
 
@@ -76,7 +85,7 @@ class ByteBpe:
             self.bytes_of[i] = token.encode()
         self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
         self.decimals = [b"%d," % i for i in range(len(self.bytes_of))]
-        self._kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}
 
     def plain_parts(self, text: str) -> list[str]:
         """The text cut at special strings, which are the odd entries."""
@@ -84,7 +93,7 @@ class ByteBpe:
 
     def encode_plain(self, text: str) -> np.ndarray:
         """Ids of a text without special strings."""
-        chunks, kept = CHUNKS.findall(text), self._kept
+        chunks, kept = CHUNKS.findall(text), self.kept
         if len(kept) > MOST_KEPT:
             kept.clear()
         long: dict[str, bytes] = {}

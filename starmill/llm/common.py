@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import starmill
 from starmill.workspace import materialize
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(starmill.__file__)))
 
 
@@ -26,13 +27,31 @@ def map_arrow(
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers that start from now on import this package."""
+    """Let Python workers that start from now on import this package, and get texts in
+    batches of few rows: Spark's own default of 10,000 is for short ones."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
 
 
+_in_use: list[dict] = [{}]
+
+
+def sole(kept: dict) -> dict:
+    """Make a look-up table the only one its worker holds; the one before it is emptied.
+
+    Workers live on from stage to stage, and would gather the tables of all operators.
+    """
+    if _in_use[0] is not kept:
+        _in_use[0].clear()
+        _in_use[0] = kept
+        pa.default_memory_pool().release_unused()
+    return kept
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

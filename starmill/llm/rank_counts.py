@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.bpe import CHUNKS, LONGEST_KEPT, MOST_KEPT, ByteBpe, byte_alphabet, vocabulary
-from starmill.llm.common import batch, map_arrow, table
+from starmill.llm.common import batch, map_arrow, sole, table
 
 LIMIT = 512
 # Fixed: the pattern by which byte-level vocabularies split a text into pre-tokens.
@@ -21,10 +21,17 @@ NONE = np.iinfo(np.int64).max
 
 
 @lru_cache(maxsize=4)
-def counter(path: str) -> "RankCounter":
+def _loaded(path: str) -> "RankCounter":
     return RankCounter(vocabulary(path))
 
 
+def counter(path: str) -> "RankCounter":
+    """The counter for the vocabulary at a path, made once a worker."""
+    ranks = _loaded(path)
+    sole(ranks.kept)
+    return ranks
+
+
 class RankCounter:
     """Counts the tokens of texts; a chunk met before is looked up."""
 
@@ -40,7 +47,7 @@ class RankCounter:
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
         self.products = np.array([ids[a + b] for a, b in pairs], np.int64)
-        self._kept: dict[str, int] = {}
+        self.kept: dict[str, int] = {}
 
     def ranks(self, pairs: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
@@ -83,9 +90,9 @@ class RankCounter:
         """Tokens of each text; special strings inside a text are one token each."""
         parts = [self.bpe.plain_parts(t) for t in texts]
         chunks = [[c for part in ps[::2] for c in CHUNKS.findall(part)] for ps in parts]
-        if len(self._kept) > MOST_KEPT:
-            self._kept.clear()
-        kept = self._kept
+        if len(self.kept) > MOST_KEPT:
+            self.kept.clear()
+        kept = self.kept
         new = list({c for cs in chunks for c in cs if c not in kept})
         found = self._count_chunks(new) if new else {}
         long = {c: n for c, n in found.items() if len(c) > LONGEST_KEPT}

@@ -87,18 +87,18 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[before:]])
 
 
-def repeated_spans(
+def later_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """The documents with a column ``spans`` of (start, end) pairs to remove, in code points.
+    """The documents with a column ``_later``: first sentences of runs an earlier document holds.
 
     A run's first occurrence is the first one in the document with the smallest
-    id; sentences that another occurrence covers go. Rows with one id count as
-    one document, each of whose rows keeps its own; null ids come last. Null
-    texts have no spans. Runs of a document are hashed once where it is read and
-    written; what repeats is found by counts that are combined before the
-    shuffle, and comes back as a document's sentences, never as pairs.
+    id. Rows with one id count as one document, none of whose rows is later than
+    the others; null ids come last. Null texts have no runs. Runs of a document
+    are hashed once where it is read and written; what repeats is found by
+    counts that are combined before the shuffle, and comes back as a document's
+    sentences, never as pairs.
     """
     last = F.lit((1 << 63) - 1)
     keyed = docs.withColumn("_key", row_key(id_col, text_col))
@@ -133,56 +133,39 @@ def repeated_spans(
         .agg(F.collect_set("at").alias("_later"))
     )
     merged = keyed.join(later.withColumnRenamed("key", "_key"), "_key", "left")
-    return _with_spans(merged.drop("_key"), docs, text_col, run, least_words)
+    return merged.select(*[F.col(f"`{c}`") for c in docs.columns], "_later")
 
 
-def _with_spans(merged: DataFrame, docs: DataFrame, text_col: str, run: int, least_words: int) -> DataFrame:
-    """Join what other documents hold first with what the document itself repeats."""
-    text_at, later_at = docs.columns.index(text_col), len(docs.columns)
-    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            out = []
-            for text, later in zip(x.column(text_at).to_pylist(), x.column(later_at).to_pylist()):
-                hashes, at = runs(text or "", run, least_words)
-                again = at[~firsts(hashes)]
-                starts = np.concatenate([again, np.array(later or [], np.int64)]).astype(np.int64)
-                spans = covered(text, starts, run) if len(starts) else []
-                out.append([{"start": a, "end": b} for a, b in spans])
-            columns = [*x.columns[:later_at], pa.array(out, spans_type)]
-            names = [*x.schema.names[:later_at], "spans"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    quoted = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_arrow(
-        merged.select(*[F.col(f"`{c}`") for c in docs.columns], "_later"), task,
-        f"{quoted}, spans array<struct<start: int, end: int>>",
-    )
+def _spans_of(text: str | None, later: list[int] | None, run: int, least_words: int) -> list[tuple[int, int]]:
+    """Spans to remove: of runs that other documents hold first, and of those the text itself repeats."""
+    hashes, at = runs(text or "", run, least_words)
+    starts = np.concatenate([at[~firsts(hashes)], np.array(later or [], np.int64)]).astype(np.int64)
+    return covered(text, starts, run) if len(starts) else []
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
+    least_words: int = LEAST_WORDS,
+) -> DataFrame:
     """The documents without their repeated spans; all rows and columns stay, a text may end empty."""
-    spanned = repeated_spans(docs, id_col, text_col, **options)
-    place = docs.columns.index(text_col)
+    place, later_at = docs.columns.index(text_col), len(docs.columns)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            texts = [
-                t if not spans else without(t, [(s["start"], s["end"]) for s in spans])
-                for t, spans in zip(x.column(place).to_pylist(), x.column("spans").to_pylist())
-            ]
+            texts = []
+            for text, later in zip(x.column(place).to_pylist(), x.column(later_at).to_pylist()):
+                spans = _spans_of(text, later, run, least_words)
+                texts.append(without(text, spans) if spans else text)
             columns = list(x.columns[:-1])
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=x.schema.names[:-1])
 
-    return map_arrow(spanned, task, docs.schema)
+    return map_arrow(later_runs(docs, id_col, text_col, run, least_words), task, docs.schema)
 
 
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages, and where they stood."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    spanned = repeated_spans(docs)
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_sentences", pa.int64()), ("n_spans", pa.int64()),
         ("removed_chars", pa.int64()), ("spans", pa.string()), ("text", pa.string()),
@@ -190,8 +173,10 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            spans = [[(s["start"], s["end"]) for s in v] for v in x.column("spans").to_pylist()]
             texts = x.column("text").to_pylist()
+            spans = [
+                _spans_of(t, later, RUN, LEAST_WORDS) for t, later in zip(texts, x.column("_later").to_pylist())
+            ]
             yield batch(
                 schema, doc_id=x.column("doc_id"), n_sentences=[len(sentences(t or "")) for t in texts],
                 n_spans=[len(v) for v in spans], removed_chars=[sum(e - s for s, e in v) for v in spans],
@@ -200,7 +185,8 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
 
     return map_arrow(
-        spanned, task, "doc_id long, n_sentences long, n_spans long, removed_chars long, spans string, text string"
+        later_runs(docs), task,
+        "doc_id long, n_sentences long, n_spans long, removed_chars long, spans string, text string",
     )
 
 

@@ -1,12 +1,12 @@
 """Sets of word shingles, as sorted 64-bit hashes, inside a task."""
 
-from functools import lru_cache
-
 import numpy as np
 import xxhash
 
+from starmill.llm.common import sole
+
 WORDS = 5
-MOST_KEPT = 400_000  # words a worker remembers before it starts afresh
+MOST_KEPT = 250_000  # words a worker remembers before it starts afresh
 # Odd multipliers of a 64-bit mix; any would do.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -17,16 +17,13 @@ class _Hashes(dict):
         return found
 
 
-@lru_cache(maxsize=1)
-def _hashes() -> _Hashes:
-    return _Hashes()
+_kept = _Hashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    kept = _hashes()
-    if len(kept) > MOST_KEPT:
-        kept.clear()
-    return np.fromiter(map(kept.__getitem__, words), np.uint64, len(words))
+    if len(_kept) > MOST_KEPT or not _kept:
+        sole(_kept).clear()
+    return np.fromiter(map(_kept.__getitem__, words), np.uint64, len(words))
 
 
 def chained(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.common import batch, map_arrow, row_key, ship, table
+from starmill.llm.common import batch, map_arrow, row_key, ship, sole, table
 
 SLOTS = 1 << 20  # slots of hashed features; the last weight is the bias
 PREFIXES = (3, 4, 5, 6, 7)  # characters of a word's beginnings that are features as well
@@ -27,17 +27,13 @@ HELD_OUT = 2  # remainder of crc32(id) modulo 4 whose labels are never learned f
 MOST_KEPT = 300_000  # words a worker remembers before it starts afresh
 
 WORD = re.compile(r"\w+")
-_slots: dict[str, tuple[int, ...]] = {}
+_kept: dict[str, tuple[int, ...]] = {}
 
 
 def word_slots(word: str) -> tuple[int, ...]:
     """Slots of a word and of its beginnings."""
-    if (found := _slots.get(word)) is None:
-        if len(_slots) > MOST_KEPT:
-            _slots.clear()
-        names = [f"={word}", *(f"{n}{word[:n]}" for n in PREFIXES if len(word) >= n)]
-        found = _slots[word] = tuple(zlib.crc32(x.encode("utf-8", "replace")) % SLOTS for x in names)
-    return found
+    names = [f"={word}", *(f"{n}{word[:n]}" for n in PREFIXES if len(word) >= n)]
+    return tuple(zlib.crc32(x.encode("utf-8", "replace")) % SLOTS for x in names)
 
 
 def level_slot(slot, level: int):
@@ -48,7 +44,11 @@ def level_slot(slot, level: int):
 def features(text: str) -> np.ndarray:
     """The distinct feature slots of a whole text: its words, their beginnings, and how
     many of its words begin alike."""
-    found = [s for word in set(WORD.findall(text.lower())) for s in word_slots(word)]
+    if len(_kept) > MOST_KEPT or not _kept:
+        sole(_kept).clear()
+    words = set(WORD.findall(text.lower()))
+    _kept.update((w, word_slots(w)) for w in words if w not in _kept)
+    found = [s for word in words for s in _kept[word]]
     slots, counts = np.unique(np.array(found, np.int64), return_counts=True)
     levels = [level_slot(slots[counts >= n], n) for n in LEVELS]
     return np.unique(np.concatenate([slots, *levels])).astype(np.int32)
@@ -136,7 +136,7 @@ class Scorer:
         for n in LEVELS:
             used = used | (weights[:-1] != 0)[level_slot(slots, n)]
         self.used = set(np.flatnonzero(used).tolist())
-        self._kept: dict[str, tuple[int, ...]] = {}
+        self._kept: dict[str, tuple[int, ...]] = sole({})
 
     def _useful(self, word: str) -> tuple[int, ...]:
         if len(self._kept) > MOST_KEPT:
