@@ -30,7 +30,8 @@ from starmill.plans.warehouse import (
     Snapshot,
     Warehouse,
     checked_counts,
-    order_bucket,
+    bucket,
+    in_buckets,
 )
 from starmill.workspace import materialize, temporary_tables
 
@@ -181,8 +182,8 @@ def folders_with(warehouse: Warehouse, base: Snapshot, batch: DataFrame) -> dict
     column. The driver sees one row per folder.
     """
     orders = batch.select("order_id").distinct()
-    buckets = {r[0] for r in orders.select(order_bucket()).distinct().collect()}
-    scanned = [f for f in base.tables[FACT] if int(f.rsplit("=", 1)[1]) in buckets]
+    buckets = {r[0] for r in orders.select(bucket("order_id")).distinct().collect()}
+    scanned = in_buckets(base.tables[FACT], buckets)
     if not scanned:
         return {}
     stored = warehouse.read(FACT, scanned, place=True)
@@ -220,17 +221,24 @@ class LoadedDimension:
 def load_dimension(
     warehouse: Warehouse, base: Snapshot, name: str, batch: DataFrame, now: datetime
 ) -> LoadedDimension:
-    """Merge a batch into a dimension and write the whole result to a new folder."""
+    """Merge a batch into a dimension and write the parts that have its keys to new folders.
+
+    ``rows`` are those parts, which hold every key of the batch.
+    """
     start = base.next_key.get(name, 1)
     business, surrogate = BUSINESS_KEYS[name], KEYS[name]
-    if base.tables.get(name):
-        rows = upsert(warehouse.table(name, base), batch, business, surrogate, now, start)
+    folders = base.tables.get(name, [])
+    if folders:
+        buckets = {r[0] for r in batch.select(bucket(business)).distinct().collect()}
+        merged = in_buckets(folders, buckets)
+        folders = [f for f in folders if f not in set(merged)]
+        rows = upsert(warehouse.read(name, merged), batch, business, surrogate, now, start)
     else:
         rows = first_load(batch, warehouse.schemas[name].names, surrogate, now, start)
     counts = checked_counts(rows, name, {
         kind: F.count_if(F.col("_change") == kind) for kind in ("new", "updated")
     })
-    return LoadedDimension(rows, warehouse.write(rows, name, base.version + 1), counts)
+    return LoadedDimension(rows, folders + warehouse.write(rows, name, base.version + 1), counts)
 
 
 def load_dates(warehouse: Warehouse, base: Snapshot, sales: DataFrame) -> LoadedDimension:

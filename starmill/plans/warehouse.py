@@ -18,7 +18,8 @@ from starmill.operators.profile import uniqueness
 from starmill.workspace import Files
 
 FACT = "fact_sales"
-# Parts of a year of facts, by a hash of the order; a reloaded order rewrites one of them.
+# Parts of a year of facts, by a hash of the order, and of a dimension, by a hash of its
+# business key. A load rewrites the parts it has keys in.
 BUCKETS = 4
 KEYS = {
     "dim_date": "date_key",
@@ -59,8 +60,13 @@ CHECKS = {
 }
 
 
-def order_bucket() -> Column:
-    return F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).cast("int").alias("order_bucket")
+def bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def in_buckets(folders: list[str], buckets: set[int]) -> list[str]:
+    """The folders that may hold keys of the buckets."""
+    return [f for f in folders if "/bucket=" not in f or int(f.rsplit("=", 1)[1]) in buckets]
 
 
 class ConstraintError(ValueError):
@@ -180,17 +186,21 @@ class Warehouse:
         out = df.select(*[
             F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schemas[name].fields
         ])
-        if name != FACT:
+        if name == "dim_date":
             out.write.parquet(f"{self.root}/{folder}")
             return [folder]
         # One writer per part and advisory size: large parts are split, small ones merged.
-        balanced = out.withColumn("order_bucket", order_bucket()).hint("rebalance", "sale_year", "order_bucket")
-        balanced.write.partitionBy("sale_year", "order_bucket").parquet(f"{self.root}/{folder}")
-        return [
-            f"{folder}/{year}/{part}"
-            for year in self._files.names(f"{self.root}/{folder}") if year.startswith("sale_year=")
-            for part in self._files.names(f"{self.root}/{folder}/{year}") if part.startswith("order_bucket=")
-        ]
+        parts = ["sale_year", "bucket"] if name == FACT else ["bucket"]
+        key = "order_id" if name == FACT else BUSINESS_KEYS[name]
+        balanced = out.withColumn("bucket", bucket(key)).hint("rebalance", *parts)
+        balanced.write.partitionBy(*parts).parquet(f"{self.root}/{folder}")
+        folders = [folder]
+        for part in parts:
+            folders = [
+                f"{f}/{n}" for f in folders for n in self._files.names(f"{self.root}/{f}")
+                if n.startswith(f"{part}=")
+            ]
+        return folders
 
     # Contract
 
