@@ -93,18 +93,25 @@ class ByteBpe:
 
     def encode_plain(self, text: str) -> np.ndarray:
         """Ids of a text without special strings."""
-        chunks, kept = CHUNKS.findall(text), self.kept
+        return np.frombuffer(self._encode_lists([CHUNKS.findall(text)])[0], "<u4")
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, as bytes; what is unknown in all of them is encoded together."""
+        plain = [not self._special.search(t) if self.specials else True for t in texts]
+        found = iter(self._encode_lists([CHUNKS.findall(t) for t, p in zip(texts, plain) if p]))
+        return [next(found) if p else self.encode(t).tobytes() for t, p in zip(texts, plain)]
+
+    def _encode_lists(self, lists: list[list[str]]) -> list[bytes]:
+        kept = self.kept
         if len(kept) > MOST_KEPT:
             kept.clear()
         long: dict[str, bytes] = {}
-        if new := [c for c in set(chunks) if c not in kept]:
+        if new := [c for c in set().union(*lists) if c not in kept]:
             for chunk, ids in self._encode_chunks(new):
                 (kept if len(chunk) <= LONGEST_KEPT else long)[chunk] = ids
         if long:
-            joined = b"".join([long[c] if c in long else kept[c] for c in chunks])
-        else:
-            joined = b"".join(map(kept.__getitem__, chunks))
-        return np.frombuffer(joined, "<u4")
+            return [b"".join([long[c] if c in long else kept[c] for c in chunks]) for chunks in lists]
+        return [b"".join(map(kept.__getitem__, chunks)) for chunks in lists]
 
     def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of each chunk. Those that begin with a blank go to the library in one

@@ -52,6 +52,19 @@ def sole(kept: dict) -> dict:
     return kept
 
 
+def groups(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+    """Texts in order, in groups of about ``most`` characters; a longer text is a group."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.bpe import vocabulary
-from starmill.llm.common import batch, map_arrow, ship, table
+from starmill.llm.common import batch, groups, map_arrow, ship, table
 from starmill.workspace import materialize
 
 CAPACITY = 2048
@@ -61,8 +61,9 @@ def pieces(
         end = np.array([end_id], "<u4").tobytes()
         for x in batches:
             out: list[tuple] = []
-            for doc, text in zip(x.column("id").to_pylist(), x.column("text").to_pylist()):
-                ids = bpe.encode(text or "").tobytes() + end
+            coded = (ids for group in groups(x.column("text").to_pylist(), 1 << 13) for ids in bpe.encode_all(group))
+            for doc, ids in zip(x.column("id").to_pylist(), coded):
+                ids += end
                 tokens, start = len(ids) // 4, 0
                 for length in cut(tokens, capacity):
                     crc = zlib.crc32(ids[4 * start:4 * (start + length)])
@@ -72,7 +73,9 @@ def pieces(
             if out:
                 yield batch(PIECE, **dict(zip(PIECE.names, zip(*out))))
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
     return map_arrow(rows, task, PIECE_NAMES)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.bpe import CHUNKS, LONGEST_KEPT, MOST_KEPT, ByteBpe, byte_alphabet, vocabulary
-from starmill.llm.common import batch, map_arrow, sole, table
+from starmill.llm.common import batch, groups, map_arrow, sole, table
 
 LIMIT = 512
 # Fixed: the pattern by which byte-level vocabularies split a text into pre-tokens.
@@ -117,22 +117,11 @@ def count_tokens(
         ("over_limit", pa.bool_()),
     ])
 
-    def groups(texts: list[str], most: int = 1 << 22) -> Iterator[list[str]]:
-        group, size = [], 0
-        for t in texts:
-            group.append(t)
-            size += len(t)
-            if size >= most:
-                yield group
-                group, size = [], 0
-        if group:
-            yield group
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = counter(path)
         for x in batches:
             texts = x.column("text").to_pylist()
-            n = [c for group in groups(texts) for c in ranks.count_all(group)]
+            n = [c for group in groups(texts, 1 << 22) for c in ranks.count_all(group)]
             yield batch(
                 schema, doc_id=x.column("id"), n_bytes=[len(t.encode()) for t in texts],
                 n_tokens=n, over_limit=[c > limit for c in n],
