@@ -213,6 +213,26 @@ def test_passages_set_into_other_text_are_found(spark):
     assert found[3].startswith("a clean text") and len(found[2].split()) < 40
 
 
+def set_into_others(rng, passage):
+    """A passage between other words, twice."""
+    around = [[f"o{rng.randrange(10**6)}" for _ in range(30)] for _ in range(4)]
+    return [" ".join([*a, *passage, *b]) for a, b in (around[:2], around[2:])]
+
+
+@pytest.mark.parametrize("between", [", ", "\n", ": ", "; "])
+def test_lists_of_short_items_are_found(spark, between):
+    rng, rows = random.Random(8), []
+    for k in range(20):
+        items = [" ".join(f"i{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 4))) for _ in range(60)]
+        passage = between.join(items).split(" ")[:60]
+        rows += [(2 * k + n, text) for n, text in enumerate(set_into_others(rng, passage))]
+    found = {r.doc_id: r.text for r in sentence_spans.drop_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string")
+    ).collect()}
+    for i, text in rows:
+        assert found[i] == text if i % 2 == 0 else len(text.split()) - len(found[i].split()) >= 30
+
+
 def test_repeats_of_shared_ids_and_no_rows(spark):
     text = "one two three four five, six seven eight nine ten, eleven twelve thirteen. "
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + "own.")], "doc_id long, text string")
