@@ -233,6 +233,20 @@ def test_lists_of_short_items_are_found(spark, between):
         assert found[i] == text if i % 2 == 0 else len(text.split()) - len(found[i].split()) >= 30
 
 
+@pytest.mark.parametrize("least, most", [(4, 7), (8, 12), (12, 16), (17, 30), (99, 99)])
+def test_passages_of_51_to_60_words_are_found(least, most):
+    rng, found = random.Random(9), []
+    for _ in range(200):
+        passage, left = [], 0
+        for _ in range(rng.randrange(51, 61)):
+            left = left or rng.randrange(least, most + 1)
+            left -= 1
+            passage.append(f"p{rng.randrange(10**6)}" + ("" if left else "."))
+        one, two = set_into_others(rng, passage)
+        found.append(bool(set(sentence_spans.runs(one)[0]) & set(sentence_spans.runs(two)[0])))
+    assert all(found)
+
+
 def test_repeats_of_shared_ids_and_no_rows(spark):
     text = "one two three four five, six seven eight nine ten, eleven twelve thirteen. "
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + "own.")], "doc_id long, text string")
