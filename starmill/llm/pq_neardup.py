@@ -1,6 +1,7 @@
 """Near-duplicate vectors by product quantisation over coarse inverted lists."""
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -8,8 +9,9 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.llm import vectors
 from starmill.llm.common import batch, components, map_arrow, table
-from starmill.llm.vectors import fit, kmeans, matrix, meet, squared_distances, valid_vectors
+from starmill.llm.vectors import fit, kmeans, matrix, squared_distances, valid_vectors
 from starmill.workspace import materialize
 
 THRESHOLD = 0.9
@@ -17,7 +19,10 @@ PARTS = 8  # subspaces of a residual
 CODES = 256  # codes of a subspace
 LIST_ROWS = 256  # vectors a list should hold
 MOST_LISTS = 4096  # bound of the coarse centroids every task holds
-PROBES = 12  # nearest lists in which a vector looks for its like
+GROUP = 16  # lists near each other that a vector is sent to once
+ROUNDING = 1e-4  # of squared distances by table, in single precision
+CELL = 8192  # rows and vectors that ask, of a group, which one task compares
+meet = partial(vectors.meet, block=CELL)
 
 
 def _edges_of(d: int) -> list[int]:
@@ -32,7 +37,9 @@ def fit_quantiser(lists: int):
         points = points / np.linalg.norm(points, axis=1, keepdims=True)
         coarse = kmeans(points, lists)
         residual = points - coarse[np.argmin(squared_distances(points, coarse), axis=1)]
-        found = {"coarse": coarse}
+        middles = kmeans(coarse, -(-len(coarse) // GROUP))
+        group = np.argmin(squared_distances(coarse, middles), axis=1)
+        found = {"coarse": coarse, "group": group.astype(float)}
         edges = _edges_of(points.shape[1])
         for part, (a, b) in enumerate(zip(edges, edges[1:])):
             found[f"codes{part}"] = kmeans(residual[:, a:b], CODES, rounds=6)
@@ -44,6 +51,7 @@ def fit_quantiser(lists: int):
 class Quantiser:
     def __init__(self, fitted: dict[str, np.ndarray]):
         self.coarse = fitted["coarse"]
+        self.group = fitted["group"].astype(int)
         self.edges = _edges_of(self.coarse.shape[1])
         self.books = [fitted[f"codes{p}"] for p in range(len(self.edges) - 1)]
 
@@ -62,11 +70,28 @@ class Quantiser:
         return np.stack(codes, axis=1), np.sqrt(error)
 
     def asymmetric(self, residual: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Distances from residuals to coded ones, by table look-up."""
-        total = np.zeros((len(residual), len(codes)))
+        """Squared distances from residuals to coded ones, by table look-up; good to ``ROUNDING``."""
+        total = np.zeros((len(codes), len(residual)), np.float32)
         for p, (book, part) in enumerate(self.parts(residual)):
-            total += squared_distances(part, book)[:, codes[:, p]]
-        return np.sqrt(total)
+            total += squared_distances(book, part).astype(np.float32)[codes[:, p]]
+        return total.T
+
+    def homes(self, unit: np.ndarray) -> np.ndarray:
+        return np.argmin(squared_distances(unit, self.coarse), axis=1)
+
+    def within(self, unit: np.ndarray, lists: np.ndarray, threshold: float) -> np.ndarray:
+        """Whether a list may hold a vector whose cosine with each of these is at least ``threshold``.
+
+        What a list holds is no farther from its centroid than from the asker's
+        nearest one. Of the unit vectors within the angle, the one turned most
+        towards the list's centroid is on its side of the plane between, or none.
+        """
+        angle = np.arccos(np.clip(threshold, -1, 1))
+        c, own = self.coarse[lists], self.coarse[self.homes(unit)]
+        apart = np.sqrt(squared_distances(own, c))
+        cos = np.divide(unit @ c.T - (unit * own).sum(1)[:, None], apart, out=np.ones_like(apart), where=apart > 0)
+        turned = np.cos(np.maximum(np.arccos(np.clip(cos, -1, 1)) - angle, 0))
+        return apart * turned + 1e-6 >= ((c * c).sum(1)[None] - (own * own).sum(1)[:, None]) / 2
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,18 +109,18 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD,
-    probes: int = PROBES,
+    df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row, by cosine of at least ``threshold``.
 
     Equal vectors are one class, which takes part once and counts as often as it
     has rows. Classes are filed under their nearest coarse centroid with the
-    codes of their residual; each looks through its ``probes`` nearest lists.
-    There, table look-up gives the distance to a coded vector, which is off by
-    no more than that vector's own coding error, stored with it: so no neighbour
-    in a probed list is missed. What remains is checked by its cosine in double
-    precision. A cell of a list gives back counts and local components, never
+    codes of their residual; each looks through all lists that may hold a
+    neighbour, so a pair is found from both sides. It is sent once to each group
+    of lists. There, table look-up gives the distance to a coded vector, which is
+    off by no more than that vector's own coding error, stored with it: so no
+    neighbour is missed. What remains is checked by its cosine in double
+    precision. A cell of a group gives back counts and local components, never
     pairs. Rows that cannot be compared link with nothing.
     """
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
@@ -104,7 +129,7 @@ def near_duplicates(
         rows.groupBy("vector").agg(F.min("id").alias("id"), F.count("id").alias("rows")), "vector-classes"
     )
     n = classes.count()
-    found = _links(classes, n, reach, threshold, probes) if n else None
+    found = _links(classes, n, reach, threshold) if n else None
     names = [F.col(id_col).cast("long").alias("vec_id")]
     if found is None:
         return df.select(
@@ -135,65 +160,82 @@ def near_duplicates(
     return known.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(classes: DataFrame, n: int, reach: float, threshold: float, probes: int) -> DataFrame:
-    """Per cell of a list: (id, null, links found) and (id, smallest id it reaches, 0)."""
+def _links(classes: DataFrame, n: int, reach: float, threshold: float) -> DataFrame:
+    """Per cell of a group of lists: (id, null, links found) and (id, smallest id it reaches, 0)."""
     lists = max(1, min(MOST_LISTS, n // LIST_ROWS))
     sent = classes.sparkSession.sparkContext.broadcast(
         fit(classes, n, fit_quantiser(lists))
     )
     filed_schema = pa.schema([
-        ("list", pa.int64()), ("id", pa.int64()), ("rows", pa.int64()), ("vector", pa.list_(pa.float64())),
-        ("codes", pa.binary()), ("error", pa.float64()), ("is_query", pa.bool_()),
+        ("list", pa.int64()), ("id", pa.int64()), ("home", pa.int64()), ("rows", pa.int64()),
+        ("vector", pa.list_(pa.float64())), ("codes", pa.binary()), ("error", pa.float64()),
     ])
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        for x in batches:
+            for start in range(0, len(x), 500):
+                part = x.slice(start, 500)
+                found = matrix(part.column("vector"))
+                yield part, found / np.linalg.norm(found, axis=1, keepdims=True)
+
+    def filed(part: pa.RecordBatch, unit: np.ndarray, **columns) -> pa.RecordBatch:
+        flat = pa.FixedSizeListArray.from_arrays(unit.ravel(), unit.shape[1]).cast(pa.list_(pa.float64()))
+        return batch(filed_schema, id=part.column("id"), rows=part.column("rows"), vector=flat, **columns)
+
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         quantiser = Quantiser(sent.value)
-        for x in batches:
-            for start in range(0, len(x), 2000):
-                part = x.slice(start, 2000)
-                vectors = matrix(part.column("vector"))
-                unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-                far = squared_distances(unit, quantiser.coarse)
-                near = np.argsort(far, axis=1, kind="stable")[:, :probes]
-                codes, error = quantiser.encode(unit - quantiser.coarse[near[:, 0]])
-                flat = pa.FixedSizeListArray.from_arrays(unit.ravel(), unit.shape[1]).cast(pa.list_(pa.float64()))
-                ids, rows = part.column("id"), part.column("rows")
-                yield batch(
-                    filed_schema, list=near[:, 0], id=ids, rows=rows, vector=flat,
-                    codes=[c.tobytes() for c in codes], error=error, is_query=[False] * len(part),
-                )
-                for probe in range(near.shape[1]):
-                    yield batch(
-                        filed_schema, list=near[:, probe], id=ids, rows=rows, vector=flat,
-                        codes=[None] * len(part), error=[None] * len(part), is_query=[True] * len(part),
+        for part, unit in parts(batches):
+            home = quantiser.homes(unit)
+            codes, error = quantiser.encode(unit - quantiser.coarse[home])
+            yield filed(
+                part, unit, list=quantiser.group[home], home=home, codes=[c.tobytes() for c in codes], error=error
+            )
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        quantiser = Quantiser(sent.value)
+        every = np.arange(len(quantiser.coarse))
+        for part, unit in parts(batches):
+            within = quantiser.within(unit, every, threshold)
+            for group in np.unique(quantiser.group):
+                at = np.flatnonzero(within[:, quantiser.group == group].any(axis=1))
+                if len(at):
+                    none = [None] * len(at)
+                    yield filed(
+                        part.take(pa.array(at)), unit[at], list=np.full(len(at), group), home=none, codes=none, error=none
                     )
 
-    names = "list long, id long, rows long, vector array<double>, codes binary, error double, is_query boolean"
-    filed = materialize(map_arrow(classes, file, names), "vector-lists")
+    names = "list long, id long, home long, rows long, vector array<double>, codes binary, error double"
+    index = materialize(map_arrow(classes, file, names), "vector-lists")
 
-    def compare(list_no: int, queries: pa.Table, rows: pa.Table) -> pa.Table:
+    def compare(_: int, queries: pa.Table, rows: pa.Table) -> pa.Table:
         quantiser = Quantiser(sent.value)
-        centre = quantiser.coarse[list_no]
         q, v = matrix(queries["vector"]), matrix(rows["vector"])
         q_ids, v_ids = queries["id"].to_numpy(), rows["id"].to_numpy()
-        weight = rows["rows"].to_numpy()
+        weight, home = rows["rows"].to_numpy(), rows["home"].to_numpy()
         codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(v), -1)
         error = rows["error"].to_numpy()
         links = np.zeros(len(q), np.int64)
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        pairs: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        here = np.unique(home)
+        members = [np.flatnonzero(home == one) for one in here]
         for start in range(0, len(q), 512):
-            part = q[start:start + 512]
-            near = quantiser.asymmetric(part - centre, codes) <= reach + error + 1e-9
-            i, j = np.nonzero(near)
-            other = q_ids[start + i] != v_ids[j]
-            i, j = i[other], j[other]
-            close = np.empty(len(i), bool)
-            for s in range(0, len(i), 1 << 16):
-                e = s + (1 << 16)
-                close[s:e] = np.einsum("ij,ij->i", part[i[s:e]], v[j[s:e]]) >= threshold
-            i, j = i[close], j[close]
-            np.add.at(links, start + i, weight[j])
-            pairs.append((start + i, j))
+            within = quantiser.within(q[start:start + 512], here, threshold)
+            for k, one in enumerate(here):
+                asking, held = start + np.flatnonzero(within[:, k]), members[k]
+                if not len(asking):
+                    continue
+                far = quantiser.asymmetric(q[asking] - quantiser.coarse[one], codes[held])
+                i, j = np.nonzero(far <= ((reach + error[held]) ** 2 + ROUNDING).astype(np.float32))
+                i, j = asking[i], held[j]
+                other = q_ids[i] != v_ids[j]
+                i, j = i[other], j[other]
+                close = np.empty(len(i), bool)
+                for s in range(0, len(i), 1 << 16):
+                    e = s + (1 << 16)
+                    close[s:e] = np.einsum("ij,ij->i", q[i[s:e]], v[j[s:e]]) >= threshold
+                i, j = i[close], j[close]
+                np.add.at(links, i, weight[j])
+                pairs.append((i, j))
         a, b = (np.concatenate(x) for x in zip(*pairs))
         ids, place = np.unique(np.concatenate([q_ids, v_ids]), return_inverse=True)
         root = _roots(len(ids), place[a], place[len(q) + b])
@@ -205,10 +247,7 @@ def _links(classes: DataFrame, n: int, reach: float, threshold: float, probes: i
             "links": pa.array(np.concatenate([links[counted], np.zeros(len(moved), np.int64)]), pa.int64()),
         })
 
-    found = meet(
-        filed.where("NOT is_query").drop("is_query"), filed.where("is_query").drop("is_query"), compare,
-        "id long, other long, links long",
-    )
+    found = meet(index, map_arrow(classes, ask, names), compare, "id long, other long, links long")
     return materialize(found, "vector-links")
 
 

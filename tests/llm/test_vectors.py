@@ -107,6 +107,31 @@ def test_links_over_the_whole_table(spark, sf_dir):
     assert [found[r.vec_id] for r in rows] == (close.sum(1) - 1).tolist()
 
 
+def planted_pairs(n=10_000, pairs=500):
+    """Unit vectors, of which the last ``pairs`` have a cosine of 0.9 to 0.95 with the first ones."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    aside = v[-pairs:] - (v[-pairs:] * v[:pairs]).sum(1)[:, None] * v[:pairs]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cos = rng.uniform(0.9005, 0.95, pairs)[:, None]
+    v[-pairs:] = cos * v[:pairs] + np.sqrt(1 - cos**2) * aside
+    return v
+
+
+def test_planted_pairs_among_many_lists(spark):
+    v = planted_pairs()
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in near_duplicates(df).collect()}
+    close = v @ v.T >= 0.9
+    expected = (close.sum(1) - 1).tolist()
+    assert sum(expected) >= 1000
+    # Either end of a pair counts it, and both are in one component.
+    assert [found[i].n_links for i in range(len(v))] == expected
+    a, b = np.nonzero(close)
+    assert all(found[i].component_id == found[j].component_id for i, j in zip(a.tolist(), b.tolist()))
+
+
 def test_a_crowded_list_is_many_cells(spark, monkeypatch):
     from starmill.llm import pq_neardup
 
