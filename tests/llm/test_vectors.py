@@ -119,7 +119,13 @@ def planted_pairs(n=10_000, pairs=500):
     return v
 
 
-def test_planted_pairs_among_many_lists(spark):
+def test_planted_pairs_among_many_lists(spark, monkeypatch):
+    from starmill.llm import pq_neardup
+
+    # 100 lists, fitted on a quarter of the rows, as larger tables are on a part of theirs.
+    whole = pq_neardup.fit
+    monkeypatch.setattr(pq_neardup, "fit", lambda *a: whole(*a, most=2500))
+    monkeypatch.setattr(pq_neardup, "LIST_ROWS", 100)
     v = planted_pairs()
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     found = {r.vec_id: r for r in near_duplicates(df).collect()}
