@@ -73,6 +73,19 @@ class CentroidGraph:
         return [j for d, j in sorted((d, j) for j, d in far.items()) if d <= best * ratio]
 
 
+    def enough(self, query: np.ndarray, ratio: float, sizes: np.ndarray, least: int) -> np.ndarray:
+        """Lists to search: as ``search`` finds, or, if these hold fewer than ``least`` entries,
+        those within ``ratio`` times the distance at which the nearest lists hold as many."""
+        found = np.array(self.search(query, ratio))
+        if sizes[found].sum() >= least:
+            return found
+        far = np.linalg.norm(self.centroids - query, axis=1)
+        order = np.argsort(far, kind="stable")
+        held = np.cumsum(sizes[order])
+        line = far[order[min(np.searchsorted(held, least), len(order) - 1)]]
+        return np.union1d(found, order[far[order] <= line * ratio])
+
+
 def copies(vectors: np.ndarray, centroids: np.ndarray) -> list[np.ndarray]:
     """The lists of each vector: its nearest, and a copy in those near whose boundary it lies."""
     far = np.sqrt(squared_distances(vectors, centroids))
@@ -121,12 +134,23 @@ def nearest(
                 part = x.slice(start, 2000)
                 yield _spread(part, copies(matrix(part.column("vector")), centroids), schema)
 
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for start in range(0, len(x), 2000):
+                filed = copies(matrix(x.slice(start, 2000).column("vector")), sent.value["centroids"])
+                yield pa.RecordBatch.from_pydict({"list": pa.array([o[0] for o in filed], pa.int64())})
+
+    # Entries of each list but for copies: a number for each of a bounded number of lists.
+    sizes = np.zeros(len(fitted["centroids"]), np.int64)
+    for r in map_arrow(entries.select("vector"), homes, "list long").groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = CentroidGraph(sent.value)
         for x in batches:
             for start in range(0, len(x), 200):
                 part = x.slice(start, 200)
-                found = [np.array(graph.search(v, prune)) for v in matrix(part.column("vector"))]
+                found = [graph.enough(v, prune, sizes, k + 1) for v in matrix(part.column("vector"))]
                 yield _spread(part, found, schema)
 
     index = map_arrow(entries.select("id", "ids", "vector"), file, names)

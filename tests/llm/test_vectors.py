@@ -70,6 +70,15 @@ def test_graph_finds_the_nearest_centroid():
     assert np.mean([graph.search(p, 1.0)[0] == best for p, best in zip(points[:200], far.argmin(1))]) > 0.95
 
 
+def test_outliers_have_ten_neighbours(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(2000, 8))
+    v[::100] *= 1000
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    counts = {r.query_id: r["count"] for r in nearest(df, "id % 100 = 0").groupBy("query_id").count().collect()}
+    assert counts == {i: 10 for i in range(0, 2000, 100)}
+
+
 def all_links(rows, threshold=0.9):
     """(n_links, component) by comparing all pairs of rows."""
     usable = [
