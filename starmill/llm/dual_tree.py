@@ -19,7 +19,7 @@ from starmill.llm.common import batch, map_arrow, table
 from starmill.workspace import materialize
 
 #: Entries (item, term) that one block of items has about; workers hold one block.
-BLOCK = 1 << 15
+BLOCK = 1 << 14
 #: Documents of a tree and of a leaf, items of a leaf, children of a node.
 TREE, LEAF, ITEM_LEAF, FAN = 4096, 4, 4, 4
 #: Sums of products below this are exact in doubles.
@@ -69,7 +69,9 @@ class Items:
         for term, df in counts.items():
             weight[term] = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
         self.weight = weight
-        whole = np.zeros((len(self.ids), len(weight)))
+        # Products stay whole in doubles; only items of hundreds of thousands of terms need the slower integers.
+        self.kind = np.float64 if int(weight.sum()) * 1_000_000 < EXACT else np.int64
+        whole = np.zeros((len(self.ids), len(weight)), self.kind)
         whole[self.item, self.term] = weight[self.term]
         self.order = np.lexsort((whole.sum(axis=1), whole.argmax(axis=1)))
         # Levels from the items up to one root, each with the coordinate maxima of the level below.
@@ -118,16 +120,16 @@ class Documents:
         self.place[order] = np.arange(len(ids))
         at = self.place[rows]
         by = np.argsort(at, kind="stable")
-        self.at, self.column, self.impact = at[by], column[by], impact[by].astype(float)
+        self.at, self.column, self.impact = at[by], column[by], impact[by].astype(items.kind)
         self.starts = np.searchsorted(self.at, np.arange(len(ids) + 1))
-        leaf = np.zeros((-(-len(ids) // LEAF), len(self.columns)))
+        leaf = np.zeros((-(-len(ids) // LEAF), len(self.columns)), items.kind)
         np.maximum.at(leaf, (self.at // LEAF, self.column), self.impact)
         self.levels = tower(leaf, FAN)
 
     def dense(self, leaf: int) -> np.ndarray:
         first, last = leaf * LEAF, min(len(self.ids), (leaf + 1) * LEAF)
         s, e = self.starts[first], self.starts[last]
-        out = np.zeros((last - first, len(self.columns)))
+        out = np.zeros((last - first, len(self.columns)), self.impact.dtype)
         out[self.at[s:e] - first, self.column[s:e]] = self.impact[s:e]
         return out
 
@@ -252,20 +254,22 @@ def rank_documents(
 ) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` documents of highest score for each item.
 
-    Items come in blocks of about ``block`` entries (item, term); workers hold one block, and documents are read once
-    for each. Documents are never shuffled: a task turns its own into postings, trees and at most ``k`` candidates an
+    Items come in blocks of about ``block`` entries (item, term), an item of more is a block of its own; workers hold one
+    block, and documents are read once for each. Documents are never shuffled: a task turns its own into postings, trees and at most ``k`` candidates an
     item. Items without terms or with no document above 0 have no rows. A null item id is an id; documents of null id
     count and can be found, and stand last among equals; repeated document rows are documents of their own.
     """
     spark = docs.sparkSession
     asked = materialize(item_terms(items, item_id, item_text), "item-terms")
-    blocks = -(-asked.count() // block)
+    sizes = asked.groupBy("id").count()
+    vast = [i for i, _ in sizes.where(F.col("count") > block).collect()]  # at most one in ``block`` entries
+    named = F.coalesce(F.col("id").isin([i for i in vast if i is not None]), F.lit(None in vast))
+    rest = asked.where(~named)
+    blocks = -(-rest.count() // block)
+    number = F.pmod(F.xxhash64(F.coalesce("id", F.lit(-1))), F.lit(max(1, blocks)))
+    chosen = [asked.where(F.col("id").eqNullSafe(i)) for i in vast] + [rest.where(number == b) for b in range(blocks)]
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.coalesce("id", F.lit(-1))), F.lit(max(1, blocks))))
-    found = [
-        found for b in range(blocks)
-        if (found := _rank_block(spark, texts, Items(asked.where(F.col("block") == b).toArrow()), k)) is not None
-    ]
+    found = [_rank_block(spark, texts, part, k) for part in (Items(x.toArrow()) for x in chosen) if part.ids]
     if not found:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     out = found[0]
@@ -274,9 +278,7 @@ def rank_documents(
     return out
 
 
-def _rank_block(spark: SparkSession, texts: DataFrame, items: Items, k: int) -> DataFrame | None:
-    if not items.ids:
-        return None
+def _rank_block(spark: SparkSession, texts: DataFrame, items: Items, k: int) -> DataFrame:
     sent = spark.sparkContext.broadcast(items)
     index = forward(texts, sent)
     rows = index.where("held IS NULL")
@@ -284,8 +286,6 @@ def _rank_block(spark: SparkSession, texts: DataFrame, items: Items, k: int) ->
     pairs = index.where("held IS NOT NULL").select(F.explode(F.arrays_zip("terms", "held")).alias("x"))
     counts = dict(pairs.groupBy("x.terms").agg(F.sum("x.held")).collect())
     items.weigh(counts, n_docs)
-    if int(items.weight.sum()) * 1_000_000 >= EXACT:
-        raise ValueError("an item block this large would lose whole numbers; make it smaller")
     sent = spark.sparkContext.broadcast(items)
     schema = pa.schema([("item", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
     full = rows.where(F.size("terms") > 0).select("id", "n", "terms", "tf")

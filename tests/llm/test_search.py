@@ -55,7 +55,7 @@ def test_terms():
     assert terms_of(None) == terms_of("") == terms_of(" \n") == []
 
 
-@pytest.mark.parametrize("block", [1 << 15, 300])
+@pytest.mark.parametrize("block", [1 << 14, 300])
 def test_whole_table(spark, sf_dir, block):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -75,6 +75,21 @@ def test_odd_rows(spark, tables):
     assert [r[2] for r in sorted(r for r in found if r[0] == 3)] == list(range(900, 910))
 
 
+def test_an_item_beyond_a_block(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a x"), (3, None)], "doc_id long, text string")
+    items = [(7, "a b c d e f g h i j k l"), (8, "x"), (None, "f a e q r s t u v w z")]
+    found = rows(rank_documents(docs, spark.createDataFrame(items, ITEM), block=5))
+    assert set(found) == brute([(1, "a b c d e f"), (2, "a x"), (3, None)], items)
+
+
+def test_whole_numbers_beyond_doubles(monkeypatch, spark, sf_dir):
+    monkeypatch.setattr(dual_tree, "EXACT", 0)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
+    assert set(rows(rank_documents(docs, items))) == want
+
+
 def test_empty_tables_and_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b", 9, 9, 9)], "doc_id long, text string, item_id long, rank int, score long")
     items = spark.createDataFrame([(1, "a", 5, 5)], "item_id long, text string, doc_id long, term int")
