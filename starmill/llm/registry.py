@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = [
     "arc_to_warc", "harmonic_packing", "tree_bpe", "rank_counts", "jaccard_join", "toxicity", "posting_lists",
-    "pq_neardup", "sentence_spans", "secret_scan", "centroid_trie", "dual_tree",
+    "pq_neardup", "sentence_spans", "secret_scan", "centroid_trie", "host_words", "dual_tree",
 ]
 
 QUERIES = {
