@@ -54,22 +54,26 @@ FROM documents"""
 
 
 def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items without quotes, read by tasks of 64 KB."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    path = csv_of(lines.coalesce(1), scratch_path(spark, "csv"))
+    """Line items in files of 20,000 rows, each with a cell of two lines, read by tasks of 64 KB."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws("\n", "l_returnflag", "l_linestatus").alias("flags"), "l_returnflag"
+    )
+    path = scratch_path(spark, "csv")
+    lines.write.option("maxRecordsPerFile", 20_000).csv(path, header=True, escape='"')
+    files = spark.read.text(path).inputFiles()
     limit = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(limit)
     spark.conf.set(limit, 65536)
     try:
-        rows = materialize(read_csv(spark, path), "split")
+        rows = materialize(read_csv(spark, files), "split")
     finally:
         spark.conf.set(limit, before)
-    return rows.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    return rows.select("l_orderkey", "l_linenumber", "flags", "l_returnflag")
 
 
 CSV_SPLIT = """
 SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-       l_returnflag, l_linestatus FROM lineitem"""
+       l_returnflag || chr(10) || l_linestatus AS flags, l_returnflag FROM lineitem"""
 
 
 def csv_spec_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +91,10 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_brand, 'CSV' AS _source_type F
 
 
 def json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose root is an array, one per market segment."""
+    """Documents whose root is an array, of up to 500 customers each."""
     records = F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
     path = scratch_path(spark, "json")
-    customers = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.to_json(records).alias("value"))
+    customers = table(spark, sf_dir, "customer").groupBy(F.floor(F.col("c_custkey") / 500)).agg(F.to_json(records).alias("value"))
     customers.select("value").repartition(8).write.option("maxRecordsPerFile", 1).text(path)
     files = [f for f in customers.sparkSession.read.text(path).inputFiles()]
     return read_json(spark, files).select("id", "name", "_source_type")

@@ -1,5 +1,6 @@
 """The folder every executor can reach, and tables written there to cut lineage."""
 
+import os
 import re
 import tempfile
 import uuid
@@ -68,6 +69,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that start from now on import this package from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 class Files:
     """The few file-system calls Spark's readers and writers do not offer."""
 
@@ -113,13 +123,15 @@ class Files:
             return path
         return next(f"{path}/{n}" for n in self.names(path) if n[0] not in "._")
 
-    def first_line(self, path: str) -> str:
+    def lines(self, path: str) -> Iterator[str]:
+        """Lines of a text file, a character for each byte; closed when the reader stops."""
         fs, p = self._open(path)
         reader = self._jvm.java.io.BufferedReader(
             self._jvm.java.io.InputStreamReader(fs.open(p), "ISO-8859-1")
         )
         try:
-            return reader.readLine() or ""
+            while (line := reader.readLine()) is not None:
+                yield line
         finally:
             reader.close()
 
