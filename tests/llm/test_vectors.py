@@ -164,3 +164,34 @@ def test_no_vectors(spark, tables):
     sf_dir = tables(embeddings=([], VECTOR))
     assert op4_posting_lists(spark, sf_dir).collect() == []
     assert op9_pq_neardup(spark, sf_dir).collect() == []
+
+
+def test_recall_of_planted_pairs_over_many_lists(spark):
+    """10,000 vectors in 39 lists: pairs from 0.90 to 0.95, links of both ends equal, against all pairs."""
+    rng = np.random.default_rng(23)
+    n, d = 9000, 64
+    base = rng.normal(size=(n, d)) * np.linspace(1.5, 0.5, d)
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    near = rng.normal(size=(1000, d))
+    near -= (near * base[:1000]).sum(1)[:, None] * base[:1000]
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    cos = np.linspace(0.901, 0.95, 1000)[:, None]
+    vectors = np.concatenate([base, cos * base[:1000] + np.sqrt(1 - cos ** 2) * near])
+    order = rng.permutation(len(vectors))
+    rows = [(int(i), vectors[k].tolist()) for i, k in enumerate(order)]
+    found = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    unit = vectors[order] / np.linalg.norm(vectors[order], axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.9
+    np.fill_diagonal(close, False)
+    want = close.sum(1)
+    got = np.zeros(len(order), int)
+    for r in found:
+        got[r.vec_id] = r.n_links
+    assert want.sum() >= 2000 and (got <= want).all()
+    assert got.sum() >= 0.99 * want.sum()
+    # Pairs of two vectors that have no other neighbour: both ends see them, or none does.
+    a, b = np.nonzero(close)
+    alone = (want[a] == 1) & (want[b] == 1)
+    assert (got[a[alone]] == got[b[alone]]).all()
+    linked = {r.vec_id: r.component_id for r in found}
+    assert all((linked[i] == linked[j]) == (got[i] == 1) for i, j in zip(a[alone], b[alone]))
