@@ -5,6 +5,7 @@ from starmill.registry import (
     cleaning,
     dimensions,
     duplicates,
+    history,
     joins,
     loads,
     reports,
@@ -16,7 +17,7 @@ from starmill.registry import (
 QUERIES = {
     name: pair
     for module in (
-        scans, cleaning, rules, duplicates, reports, dimensions, loads, analytics, joins, streams,
+        scans, cleaning, rules, duplicates, reports, dimensions, loads, history, analytics, joins, streams,
     )
     for name, pair in module.QUERIES.items()
 }
