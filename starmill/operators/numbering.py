@@ -7,6 +7,8 @@ from starmill.functions.columns import flat_columns
 from starmill.workspace import materialize, temporary_tables
 
 POSITION_BITS = 33
+# Rows of a block that are numbered together: 2 to this power.
+STRETCH_BITS = 13
 
 
 def sort_columns(df: DataFrame, order_by: list[str | Column]) -> list[Column]:
@@ -62,6 +64,43 @@ def number_rows(df: DataFrame, order_by: list[str | Column], into: str, start: i
     )
 
 
+def is_placed(df: DataFrame) -> bool:
+    """Whether ``_ord`` is a place in a source: source, file, block and row."""
+    kind = df.schema["_ord"].dataType
+    return getattr(kind, "names", None) == ["source", "file", "block", "row"]
+
+
+def number_placed(df: DataFrame, into: str, start: int, wanted: Column) -> DataFrame:
+    """Dense numbers from ``start`` for the wanted rows, in the order of their places; others get null.
+
+    Rows are numbered within stretches of a block, which are bounded whatever the
+    block, and a stretch begins where the wanted rows of all stretches before it
+    end. So nothing is sorted across files, and no ranges are sampled. The rows
+    are shuffled once; their numbers and the stretches meet by the same keys.
+    """
+    keys = {
+        "_source": F.col("_ord.source"), "_file": F.coalesce("_ord.file", F.lit("")),
+        "_block": F.coalesce("_ord.block", F.lit(0)), "_stretch": F.shiftright("_ord.row", STRETCH_BITS),
+    }
+    placed = df.withColumns(keys | {"_wanted": F.coalesce(wanted, F.lit(False))})
+    counts = materialize(
+        placed.groupBy(*keys).agg(F.count_if("_wanted").alias("n")), "stretches"
+    )
+    in_file = Window.partitionBy("_source", "_file").orderBy("_block", "_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.orderBy("_source", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = counts.groupBy("_source", "_file").agg(F.sum("n").alias("n"))  # one row a file
+    files = files.select("_source", "_file", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("_earlier"))
+    before = F.coalesce(F.sum("n").over(in_file), F.lit(0)) + F.col("_earlier")
+    offsets = counts.join(files, ["_source", "_file"]).select(*keys, before.alias("_before"))
+    within = Window.partitionBy(*keys).orderBy(F.desc("_wanted"), "_ord.row")
+    numbered = (
+        placed.withColumn("_pos", F.row_number().over(within)).join(offsets, list(keys))
+        .withColumn(into, F.when(F.col("_wanted"), F.col("_before") + F.col("_pos") + F.lit(start - 1)))
+        .drop(*keys, "_wanted", "_pos", "_before")
+    )
+    return materialize(numbered, "numbered")
+
+
 def exact_medians(df: DataFrame, values: dict[str, Column]) -> dict[str, float]:
     """Median of each named double expression, exact at any size.
 

@@ -1,5 +1,6 @@
 """Loading transactions into the star: dimensions, keys, facts, checks."""
 
+import logging
 from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -21,22 +22,30 @@ from starmill.operators.dimensions import (
     date_dimension_for,
     product_dimension,
 )
-from starmill.operators.numbering import number_rows
+from starmill.operators.numbering import is_placed, number_placed, number_rows
 from starmill.operators.profile import referential_orphans
 from starmill.plans.warehouse import (
     BUSINESS_KEYS,
+    DELETED,
     FACT,
     KEYS,
     Snapshot,
     Warehouse,
-    checked_counts,
     bucket,
-    in_buckets,
+    checked_counts,
+    deepest,
+    holding,
 )
 from starmill.workspace import materialize, temporary_tables
 
-# Folders a year and bucket of facts may consist of before a load merges them.
+log = logging.getLogger(__name__)
+
+# Folders a part of a year of facts, or the list of deleted orders, may consist of before a
+# load merges them, the share of dead facts at which it drops them, and the most orders that
+# are looked for by name.
 MOST_LOADS = 32
+MOST_DEAD = 0.25
+NAMED = 1000
 
 MEASURES = ["quantity", "unit_price", "discount", "total_amount"]
 
@@ -112,14 +121,19 @@ def key_map(dimension: DataFrame, table: str) -> DataFrame:
     return dimension.select(BUSINESS_KEYS[table], KEYS[table])
 
 
-def dated(sales: DataFrame) -> DataFrame:
-    """The batch with its dates as dates: text follows the format of the first one, as in cleaning."""
+def dated(sales: DataFrame, pattern: str | None = None) -> tuple[DataFrame, str | None]:
+    """The batch with its dates as dates, and the pattern they were read by.
+
+    Text follows ``pattern``, or else the format of the first one, as in cleaning.
+    """
     dtype = sales.schema["order_date"].dataType
     if not isinstance(dtype, T.StringType):
-        return sales
-    place = F.when(F.col("order_date").isNotNull(), F.col("_ord"))
-    first = sales.agg(F.min_by("order_date", place)).first()[0]
-    return sales.withColumn("order_date", day(F.col("order_date"), dtype, known_pattern("order_date", first)))
+        return sales, None
+    if pattern is None:
+        place = F.when(F.col("order_date").isNotNull(), F.col("_ord"))
+        first = sales.agg(F.min_by("order_date", place)).first()[0]
+        pattern = known_pattern("order_date", first)
+    return sales.withColumn("order_date", day(F.col("order_date"), dtype, pattern)), pattern
 
 
 def resolve_facts(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -144,7 +158,9 @@ def resolve_facts(sales: DataFrame, customers: DataFrame, products: DataFrame) -
 
 
 def number_facts(resolved: DataFrame, next_key: int = 1) -> DataFrame:
-    """Give every loadable row its sale_id in batch order; dropped rows come after them."""
+    """Give every loadable row its sale_id in batch order; dropped rows get none or a later one."""
+    if is_placed(resolved):
+        return number_placed(resolved, "sale_id", next_key, F.col("_dropped").isNull())
     return number_rows(
         resolved, [F.col("_dropped").isNotNull(), "_ord"], "sale_id", next_key
     )
@@ -165,35 +181,41 @@ def load_measures() -> dict[str, Column]:
     }
 
 
-def reload(existing: DataFrame, orders: DataFrame) -> DataFrame:
-    """Stored facts without the lines of the orders that are loaded again."""
-    return existing.join(orders.where("order_id IS NOT NULL"), "order_id", "left_anti")
+def part_path(folder: str) -> str:
+    """Year and part of a folder of facts, whatever load wrote it."""
+    return folder.split("/", 2)[2]
 
 
-def part_of(folder: str) -> str:
-    """Year and bucket of a folder of facts, whatever load wrote it."""
-    return folder.split("/", 2)[2]
+def parts_of(batch: DataFrame, key: str, folders: list[str]) -> set[int]:
+    """The parts a batch has keys in, as deep as the deepest folder; the driver sees one row a part."""
+    parts = batch.select(bucket(key, deepest(folders))).where("bucket IS NOT NULL").distinct()
+    return {r[0] for r in parts.collect()}
 
 
-def folders_with(warehouse: Warehouse, base: Snapshot, batch: DataFrame) -> dict[str, int]:
-    """The fact's folders that hold lines of the batch's orders, and how many.
+def stored_orders(warehouse: Warehouse, base: Snapshot, batch: DataFrame) -> DataFrame:
+    """(order_id, lines) of the batch's orders that have live lines in the warehouse.
 
-    Only folders of buckets the batch has orders in are scanned, and of those one
-    column. The driver sees one row per folder.
+    Only folders of parts the batch has orders in are scanned, and of those one
+    column; a few orders are looked for by name, so that files sorted by order
+    are skipped but for the pages that may have them.
     """
     orders = batch.select("order_id").distinct()
-    buckets = {r[0] for r in orders.select(bucket("order_id")).distinct().collect()}
-    scanned = in_buckets(base.tables[FACT], buckets)
-    if not scanned:
-        return {}
-    stored = warehouse.read(FACT, scanned, place=True)
-    found = stored.select("order_id", "_place").join(orders, "order_id", "left_semi")
-    return {
-        f"{FACT}/{r['folder']}": r["count"]
-        for r in found.groupBy(
-            F.regexp_extract("_place", f"/{FACT}/(load=[^/]*/[^/]*/[^/]*)/[^/]*$", 1).alias("folder")
-        ).count().collect()
-    }
+    folders = holding(base.tables[FACT], parts_of(batch, "order_id", base.tables[FACT]))
+    stored = warehouse.live_facts(folders, base.tables.get(DELETED, [])).select("order_id")
+    named = [r[0] for r in orders.limit(NAMED + 1).collect()]
+    if len(named) <= NAMED:
+        stored = stored.where(F.col("order_id").isin(named))
+    found = stored.join(orders, "order_id", "left_semi")
+    return materialize(found.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines")), "stored-orders")
+
+
+def folders_with_dead(warehouse: Warehouse, folders: list[str], deleted: list[str]) -> list[str]:
+    """The fact's folders that hold lines of deleted orders; the driver sees one row a folder."""
+    folder = F.regexp_extract("_place", f"/({FACT}/load=[^/]*/[^/]*/[^/]*)/[^/]*$", 1).alias("folder")
+    every = warehouse.read(FACT, folders, place=True).groupBy(folder).agg(F.count(F.lit(1)).alias("stored"))
+    live = warehouse.live_facts(folders, deleted, place=True).groupBy(folder).agg(F.count(F.lit(1)).alias("live"))
+    both = every.join(live, "folder", "left").where("live IS NULL OR live < stored")
+    return [r["folder"] for r in both.collect()]
 
 
 @dataclass
@@ -229,8 +251,7 @@ def load_dimension(
     business, surrogate = BUSINESS_KEYS[name], KEYS[name]
     folders = base.tables.get(name, [])
     if folders:
-        buckets = {r[0] for r in batch.select(bucket(business)).distinct().collect()}
-        merged = in_buckets(folders, buckets)
+        merged = holding(folders, parts_of(batch, business, folders))
         folders = [f for f in folders if f not in set(merged)]
         rows = upsert(warehouse.read(name, merged), batch, business, surrogate, now, start)
     else:
@@ -238,7 +259,8 @@ def load_dimension(
     counts = checked_counts(rows, name, {
         kind: F.count_if(F.col("_change") == kind) for kind in ("new", "updated")
     })
-    return LoadedDimension(rows, folders + warehouse.write(rows, name, base.version + 1), counts)
+    written = warehouse.write(rows, name, base.version + 1, start - 1 + counts["new"])
+    return LoadedDimension(rows, folders + written, counts)
 
 
 def load_dates(warehouse: Warehouse, base: Snapshot, sales: DataFrame) -> LoadedDimension:
@@ -271,11 +293,17 @@ def load_star(
     """Load a batch of transactions: all tables become visible together, or none.
 
     ``sales`` must be a written table (it is read once per output) and carry
-    ``_ord``. A batch replaces the stored lines of its orders. A batch of a
-    ``stream``, given as the stream's name and the batch's number, adds its lines
-    instead, for the other lines of an order may have come in an earlier one; a
-    number the warehouse has seen is loaded already, and nothing is done. Parts
-    of the fact in more than ``most_loads`` folders are merged.
+    ``_ord``. A batch replaces the stored lines of its orders: those orders are
+    written down as deleted, and readers leave their older lines out. Once a
+    quarter of the stored lines is dead, or the deletions fill ``most_loads``
+    folders, the folders with dead lines are rewritten without them; so are the
+    parts of the fact in that many folders.
+
+    A batch of a ``stream``, given as the stream's name and the batch's number,
+    adds its lines instead, for the other lines of an order may have come in an
+    earlier one; a number the warehouse has seen is loaded already, and nothing
+    is done. A stream's dates are read by the pattern of its first one, whatever
+    batch they come in, and a batch without a readable date is set aside.
     """
     with temporary_tables(warehouse.spark):
         return _load_star(warehouse, sales, regions, b2b, now, most_loads, stream)
@@ -289,7 +317,8 @@ def _load_star(
     base = warehouse.current()
     if stream and base.streams.get(stream[0], -1) >= stream[1]:
         return None
-    sales = dated(sales)
+    offered = sales
+    sales, pattern = dated(sales, base.patterns.get(stream[0]) if stream else None)
     version = base.version + 1
     customers, products, dates = side_by_side([
         lambda: load_dimension(
@@ -315,7 +344,12 @@ def _load_star(
     )
     counts = checked_counts(facts, FACT, load_measures(), F.col("_dropped").isNull())
     if counts["rows_in"] and counts["invalid_dates"] == counts["rows_in"]:
-        raise ValueError("no order_date of the batch can be read; see the log for its format")
+        if not stream:
+            raise ValueError("no order_date of the batch can be read; see the log for its format")
+        aside = warehouse.set_aside(offered, *stream)
+        log.error("batch %d of stream %s has no readable order_date; kept in %s", stream[1], stream[0], aside)
+        warehouse.publish(base, {}, {}, dict([stream]))
+        return None
     loadable = facts.where("_dropped IS NULL").drop("_dropped", "_ord")
     next_key[FACT] = start + counts["rows_loaded"]
     batch = loadable.withColumns({
@@ -323,19 +357,28 @@ def _load_star(
         "sale_year": F.floor(F.col("date_key") / 10000).cast("int"),
     })
 
-    # Only folders that hold rows of reloaded orders, or too many small ones, are rewritten.
-    folders = list(base.tables.get(FACT, []))
-    hit = {} if stream or not folders else folders_with(warehouse, base, batch)
-    parts = Counter(part_of(f) for f in folders)
-    rewritten = [f for f in folders if f in hit or parts[part_of(f)] >= most_loads]
+    folders, deleted = list(base.tables.get(FACT, [])), list(base.tables.get(DELETED, []))
+    replaced, dead = 0, base.dead
+    if folders and not stream:
+        again = stored_orders(warehouse, base, batch)
+        replaced = again.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
+        if replaced:
+            deleted.append(warehouse.write_deleted(again, version))
+            dead += replaced
+    # Dead lines go once they are many, and so do parts of many small folders.
+    parts = Counter(part_path(f) for f in folders)
+    rewritten = {f for f in folders if parts[part_path(f)] >= most_loads}
+    drop_dead = dead > MOST_DEAD * (start - 1) or len(deleted) >= most_loads > 1
+    if deleted and drop_dead:
+        rewritten |= set(folders_with_dead(warehouse, folders, deleted))
     if rewritten:
-        kept = warehouse.read(FACT, rewritten)
-        if not stream:
-            kept = reload(kept, batch.select("order_id").distinct())
+        kept = warehouse.live_facts(sorted(rewritten), deleted)
         batch = kept.unionByName(batch, allowMissingColumns=True)
-        folders = [f for f in folders if f not in set(rewritten)]
-    replaced = sum(hit.values())
-    tables[FACT] = folders + warehouse.write(batch, FACT, version)
+        folders = [f for f in folders if f not in rewritten]
+    if drop_dead:
+        deleted, dead = [], 0
+    tables[FACT] = folders + warehouse.write(batch, FACT, version, next_key[FACT] - 1)
+    tables[DELETED] = deleted
 
     orphans = {
         r["foreign_key"]: r["orphans"]
@@ -349,7 +392,10 @@ def _load_star(
     }
     if any(orphans.values()):
         raise ValueError(f"referential integrity violated: {orphans}")
-    warehouse.publish(base, tables, next_key, dict([stream]) if stream else {})
+    warehouse.publish(
+        base, tables, next_key, dict([stream]) if stream else {},
+        {stream[0]: pattern} if stream and pattern else {}, dead,
+    )
     return Loaded(
         version, dates.counts["new"], customers.counts, products.counts, counts, replaced, orphans,
     )

@@ -18,9 +18,11 @@ from starmill.operators.profile import uniqueness
 from starmill.workspace import Files
 
 FACT = "fact_sales"
-# Parts of a year of facts, by a hash of the order, and of a dimension, by a hash of its
-# business key. A load rewrites the parts it has keys in.
-BUCKETS = 4
+# Orders whose lines of earlier loads are gone; facts are read without them.
+DELETED = "fact_deleted"
+# A year of facts lies in parts by a hash of the order, a dimension in parts by a hash of its
+# business key. There are twice as many whenever a table has outgrown so many rows a part.
+PART_ROWS = 2_000_000
 KEYS = {
     "dim_date": "date_key",
     "dim_customer": "customer_key",
@@ -60,13 +62,27 @@ CHECKS = {
 }
 
 
-def bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+def bucket(key: str, depth: int) -> Column:
+    """The part of a key: the low ``depth`` bits of its hash, after a leading one that tells the depth."""
+    return (F.lit(1 << depth) + F.pmod(F.xxhash64(key), F.lit(1 << depth))).cast("int").alias("bucket")
 
 
-def in_buckets(folders: list[str], buckets: set[int]) -> list[str]:
-    """The folders that may hold keys of the buckets."""
-    return [f for f in folders if "/bucket=" not in f or int(f.rsplit("=", 1)[1]) in buckets]
+def depth_of(part: int) -> int:
+    return part.bit_length() - 1
+
+
+def part_of(folder: str) -> int:
+    return int(folder.rsplit("bucket=", 1)[1])
+
+
+def deepest(folders: list[str]) -> int:
+    return max((depth_of(part_of(f)) for f in folders), default=0)
+
+
+def holding(folders: list[str], parts: set[int]) -> list[str]:
+    """The folders that may hold keys of the parts, which are as deep as the deepest folder."""
+    low = {(d, p & ((1 << d) - 1)) for d in {depth_of(part_of(f)) for f in folders} for p in parts}
+    return [f for f in folders if (d := depth_of(p := part_of(f)), p & ((1 << d) - 1)) in low]
 
 
 class ConstraintError(ValueError):
@@ -105,18 +121,22 @@ def schemas(money: str = "double") -> dict[str, T.StructType]:
 
 @dataclass
 class Snapshot:
-    """Folders of each table, the next surrogate key of each sequence, and the last
-    batch of each stream that is loaded."""
+    """Folders of each table, the next surrogate key of each sequence, the last batch of
+    each stream that is loaded and the date pattern it goes by, and how many stored facts
+    are dead."""
 
     version: int = 0
     tables: dict[str, list[str]] = field(default_factory=dict)
     next_key: dict[str, int] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
+    patterns: dict[str, str] = field(default_factory=dict)
+    dead: int = 0
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, money: str = "double"):
+    def __init__(self, spark: SparkSession, root: str, money: str = "double", part_rows: int = PART_ROWS):
         self.spark = spark
+        self.part_rows = part_rows
         self.root = root.rstrip("/")
         self.schemas = schemas(money)
         self._files = Files(spark)
@@ -132,12 +152,14 @@ class Warehouse:
 
     def publish(
         self, base: Snapshot, tables: dict[str, list[str]], next_key: dict[str, int],
-        streams: dict[str, int] | None = None,
+        streams: dict[str, int] | None = None, patterns: dict[str, str] | None = None,
+        dead: int | None = None,
     ) -> Snapshot:
         """Make a load visible. Fails if another load was published since ``base``."""
         new = Snapshot(
             base.version + 1, {**base.tables, **tables}, {**base.next_key, **next_key},
-            {**base.streams, **(streams or {})},
+            {**base.streams, **(streams or {})}, {**base.patterns, **(patterns or {})},
+            base.dead if dead is None else dead,
         )
         self._files.create_once(
             f"{self.root}/_snapshots/{new.version:012d}.json", json.dumps(vars(new))
@@ -148,7 +170,45 @@ class Warehouse:
 
     def table(self, name: str, at: Snapshot | None = None) -> DataFrame:
         """A table as of a snapshot; a table never loaded has no rows."""
-        return self.read(name, (at or self.current()).tables.get(name, []))
+        at = at or self.current()
+        if name == FACT and at.tables.get(DELETED):
+            return self.live_facts(at.tables.get(FACT, []), at.tables[DELETED])
+        return self.read(name, at.tables.get(name, []))
+
+    def live_facts(self, folders: list[str], deleted: list[str], place: bool = False) -> DataFrame:
+        """Facts without the lines of orders a later load has replaced.
+
+        Only folders older than the newest deletion are joined with the deleted
+        orders, which the optimizer broadcasts while they are few.
+        """
+        newest = max((version_of(f) for f in deleted), default=0)
+        old = [f for f in folders if version_of(f) < newest]
+        new = [f for f in folders if version_of(f) >= newest]
+        if not old:
+            return self.read(FACT, new, place)
+        rows = self.read(FACT, old, True).withColumn("_version", _version(F.col("_place")))
+        gone = self.spark.read.schema("order_id string").parquet(*[f"{self.root}/{f}" for f in deleted])
+        gone = gone.select(
+            F.col("order_id").alias("_gone"), _version(F.col("_metadata.file_path")).alias("_since")
+        ).groupBy("_gone").agg(F.max("_since").alias("_since"))
+        met = (F.col("order_id") == F.col("_gone")) & (F.col("_version") < F.col("_since"))
+        live = rows.join(gone, met, "left_anti").drop("_version", *([] if place else ["_place"]))
+        return live.unionByName(self.read(FACT, new, place)) if new else live
+
+    def write_deleted(self, orders: DataFrame, version: int) -> str:
+        folder = f"{DELETED}/load=v{version}_{uuid.uuid4().hex}"
+        orders.select("order_id").write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def set_aside(self, batch: DataFrame, stream: str, number: int) -> str:
+        """Keep a batch that cannot be loaded where somebody can look at it."""
+        path = f"{self.root}/_set_aside/{stream}/batch={number}"
+        batch.write.mode("overwrite").parquet(path)
+        return path
+
+    def depth(self, rows: int) -> int:
+        """Bits of the hash that part a table of so many rows."""
+        return max(0, -(-rows // self.part_rows) - 1).bit_length()
 
     def read(self, name: str, folders: list[str], place: bool = False) -> DataFrame:
         """The rows in some folders of a table; ``place`` adds the file of each as ``_place``."""
@@ -170,16 +230,18 @@ class Warehouse:
         used = {f for s in kept for folders in s.tables.values() for f in folders}
         used_loads = {"/".join(f.split("/")[:2]) for f in used}
         removed = [
-            f"{name}/{load}" for name in self.schemas for load in self._files.names(f"{self.root}/{name}")
+            f"{name}/{load}" for name in [*self.schemas, DELETED] for load in self._files.names(f"{self.root}/{name}")
             if f"{name}/{load}" not in used_loads
         ]
         for path in [*removed, *(f"_snapshots/{n}" for n in names[:-keep])]:
             self._files.remove(f"{self.root}/{path}")
         return removed
 
-    def write(self, df: DataFrame, name: str, version: int) -> list[str]:
+    def write(self, df: DataFrame, name: str, version: int, rows: int = 0) -> list[str]:
         """Write new files of a table and return their folders; readers do not see them yet.
 
+        ``rows`` is about how many the whole table has, and says how finely it is parted.
+
         The folder is the writer's own, so two loads of one version cannot mix.
         """
         folder = f"{name}/load=v{version}_{uuid.uuid4().hex}"
@@ -192,7 +254,9 @@ class Warehouse:
         # One writer per part and advisory size: large parts are split, small ones merged.
         parts = ["sale_year", "bucket"] if name == FACT else ["bucket"]
         key = "order_id" if name == FACT else BUSINESS_KEYS[name]
-        balanced = out.withColumn("bucket", bucket(key)).hint("rebalance", *parts)
+        balanced = out.withColumn("bucket", bucket(key, self.depth(rows))).hint("rebalance", *parts)
+        # In the order of the key, so that a look for few keys skips most of a file.
+        balanced = balanced.sortWithinPartitions(*parts, key)
         balanced.write.partitionBy(*parts).parquet(f"{self.root}/{folder}")
         folders = [folder]
         for part in parts:
@@ -223,7 +287,7 @@ class Warehouse:
         )
         for key in (KEYS[name], BUSINESS_KEYS.get(name)):
             if key in have:
-                unique = uniqueness(stored, key, name)
+                unique = uniqueness(self.table(name) if name == FACT else stored, key, name)
                 rows = rows.unionByName(unique.select(
                     F.lit(name).alias("table_name"),
                     F.lit(f"unique {key}").alias("promise"),
@@ -246,6 +310,15 @@ class Warehouse:
         return self.publish(base, {name: [] for name in self.schemas}, {k: 1 for k in base.next_key})
 
 
+def version_of(folder: str) -> int:
+    """The version of the load that wrote a folder."""
+    return int(folder.split("/load=v", 1)[1].split("_", 1)[0])
+
+
+def _version(path: Column) -> Column:
+    return F.regexp_extract(path, "/load=v([0-9]+)_", 1).cast("int")
+
+
 def constraint_rules(columns: list[str], table: str) -> dict[str, Column]:
     """Constraint name to the condition of a row that breaks it."""
     rules = {f"{c} is not null": F.col(c).isNull() for c in NOT_NULL[table] if c in columns}

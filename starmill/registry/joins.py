@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from starmill.functions.calendar import date_key
 from starmill.operators.dedup import deduplicate
-from starmill.plans.star_load import folders_with, new_dates, reload
+from starmill.plans.star_load import new_dates, stored_orders
+from starmill.plans.warehouse import FACT
 from starmill.registry.loads import BATCHES, MAPPED, partly_mapped, upserted
 from starmill.registry.tables import SALES, loaded_warehouse, table, written_sales
 
@@ -42,28 +43,27 @@ def urgent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anti join of a reload: stored lines of orders that the batch does not hold."""
-    stored = written_sales(spark, sf_dir).select("order_id", "product_id", "quantity", "total_amount")
-    return reload(stored, urgent(spark, sf_dir).select("order_id").distinct())
+    """Anti join of a reload: stored lines as read once the orders of a batch are deleted."""
+    warehouse = loaded_warehouse(spark, sf_dir)
+    base = warehouse.current()
+    gone = warehouse.write_deleted(urgent(spark, sf_dir).select("order_id").distinct(), base.version + 1)
+    live = warehouse.live_facts(base.tables[FACT], [gone])
+    return live.select("order_id", "quantity", "total_amount")
 
 
 _URGENT = "SELECT order_id FROM sales WHERE quantity = 50 AND order_date < DATE '1996-01-01'"
 KEPT_LINES = f"""WITH {SALES}
-SELECT order_id, product_id, quantity, total_amount FROM sales WHERE order_id NOT IN ({_URGENT})"""
+SELECT order_id, CAST(quantity AS BIGINT) AS quantity, total_amount FROM sales WHERE order_id NOT IN ({_URGENT})"""
 
 
 def replaced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Semi join of a reload: stored lines the batch replaces, by year, found part by part."""
+    """Semi join of a reload: the batch's orders that are stored, and their lines."""
     warehouse = loaded_warehouse(spark, sf_dir)
-    hits = folders_with(warehouse, warehouse.current(), urgent(spark, sf_dir))
-    rows = [(int(folder.split("sale_year=")[1][:4]), lines) for folder, lines in hits.items()]
-    found = spark.createDataFrame(rows, "sale_year int, lines long")
-    return found.groupBy("sale_year").agg(F.sum("lines").alias("lines"))
+    return stored_orders(warehouse, warehouse.current(), urgent(spark, sf_dir))
 
 
 REPLACED_LINES = f"""WITH {SALES}
-SELECT CAST(year(order_date) AS INTEGER) AS sale_year, count(*) AS lines FROM sales
-WHERE order_id IN ({_URGENT}) GROUP BY 1"""
+SELECT order_id, count(*) AS lines FROM sales WHERE order_id IN ({_URGENT}) GROUP BY 1"""
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmill.plans.analytics import Star
 from starmill.plans.star_load import load_star
 from starmill.plans.warehouse import Warehouse
+from starmill.sources.order import file_place
 from starmill.workspace import materialize, scratch_path
 
 NAMES = [
@@ -50,14 +51,14 @@ def line_order() -> Column:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as sales transactions, in the order of ``LINE_ORDER``."""
+    """Line items as sales transactions, in the order of their file."""
     buyers = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     heads = table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = table(spark, sf_dir, "lineitem").select("*", file_place()).join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     rows = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -80,10 +81,11 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast(MONEY).alias("unit_price"),
         (discount * 100).cast(MONEY).alias("discount"),
         (F.col("l_extendedprice").cast(MONEY) * (1 - discount)).cast(MONEY).alias("total_amount"),
-        line_order(),
+        "_ord",
     )
 
 
+# The place of a line in its file: DuckDB keeps the order of a scan.
 SALES = f"""
 sales AS (
   SELECT {padded_sql('l_orderkey', 'ORD', 9)} AS order_id,
@@ -100,8 +102,8 @@ sales AS (
          CAST(CAST(l_discount AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) AS discount,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2))
               * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount,
-         row_number() OVER (ORDER BY {', '.join(LINE_ORDER)}) AS ord
-  FROM lineitem
+         place AS ord
+  FROM (SELECT *, row_number() OVER () AS place FROM lineitem) AS lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey

@@ -110,7 +110,7 @@ def read_csv(
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no such CSV file: {path}") from error
+            raise FileNotFoundError(f"CSV input not found: {path}") from error
         raise
     return raw.select(
         *(or_null(F.col(f"`{c}`")).alias(c) for c in raw.columns),
