@@ -79,6 +79,14 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in columns))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores before it as no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of an undirected graph, as (id, component).
 

@@ -7,12 +7,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.common import batch, map_arrow, row_key, table
+from starmill.llm.common import batch, map_arrow, row_key, table, unused
 from starmill.llm.shingles import MIX, chained, word_hashes
 from starmill.workspace import materialize
 
-RUN = 3  # consecutive sentences of a run
-LEAST_WORDS = 12  # words of a run; shorter ones repeat by chance
+RUN = 6  # consecutive sentences of a run
+LEAST_WORDS = 24  # words of a run; what many clean documents share by chance is shorter
 
 LEAST = 4  # words of a sentence, so that a run has ``LEAST_WORDS``; only a text's last one may have fewer
 MOST = 2 * LEAST - 1  # words of a sentence; more are parted
@@ -155,7 +155,7 @@ def later_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN,
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """The documents with a column ``_later``: first sentences of runs an earlier document holds.
+    """The documents with one more, last column: first sentences of runs an earlier document holds.
 
     A run's first occurrence is the first one in the document with the smallest
     id. Rows with one id count as one document, none of whose rows is later than
@@ -165,9 +165,10 @@ def later_runs(
     sentences, never as pairs.
     """
     last = F.lit((1 << 63) - 1)
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
+    mark, starts = unused("_key", docs.columns), unused("_later", docs.columns)
+    keyed = docs.withColumn(mark, row_key(id_col, text_col))
     rows = keyed.select(
-        F.coalesce(F.col(id_col).cast("long"), last).alias("id"), "_key",
+        F.coalesce(F.col(id_col).cast("long"), last).alias("id"), F.col(mark).alias("_key"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     schema = pa.schema([
@@ -194,10 +195,10 @@ def later_runs(
     ).select("hash", "first")
     later = (
         found.join(shared, "hash").where("id > first").groupBy("key")
-        .agg(F.collect_set("at").alias("_later"))
+        .agg(F.collect_set("at").alias(starts))
     )
-    merged = keyed.join(later.withColumnRenamed("key", "_key"), "_key", "left")
-    return merged.select(*[F.col(f"`{c}`") for c in docs.columns], "_later")
+    merged = keyed.join(later.withColumnRenamed("key", mark), mark, "left")
+    return merged.select(*[F.col(f"`{c}`") for c in docs.columns], starts)
 
 
 def _spans_of(

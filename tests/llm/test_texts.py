@@ -153,7 +153,35 @@ def test_join_of_copies_nulls_and_no_rows(spark, tables):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.jaccard_components(empty).collect() == []
     docs = spark.createDataFrame(rows, DOC)
-    assert sorted(repr(r.doc_id) for r in jaccard_join.one_of_each(docs).collect()) == ["3", "3", "None"]
+    assert [r.doc_id for r in jaccard_join.one_of_each(docs).collect()] == [3]
+
+
+def test_one_row_of_each_component_stays(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (1, "a b c d e f", 0, 0), (1, "a b c d e f", 0, 0), (None, "a b c d e f", 0, 0),  # copies with and without an id
+        (None, long, 0, 0), (None, long, 0, 0), (None, long + " more", 0, 0),  # no id at all
+        (2, None, 0, 0), (2, None, 0, 0), (None, "", 0, 0), (None, "", 0, 0), (3, " ", 0, 0),  # nothing to be a copy of
+        (4, "one two three four five six", 0, 0), (4, "quite another text with that id", 0, 0),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rank int, component_id int")
+    found = jaccard_join.one_of_each(df)
+    assert found.columns == df.columns
+    kept = sorted(map(repr, ((r.doc_id, r.text) for r in found.collect())))
+    longs = [k for k in kept if "w39" in k]
+    assert len(longs) == 1
+    rest = [(1, "a b c d e f"), (2, None), (2, None), (None, ""), (None, ""), (3, " "),
+            (4, "one two three four five six"), (4, "quite another text with that id")]
+    assert sorted(set(kept) - set(longs)) == sorted(set(map(repr, rest))) and len(kept) == len(rest) + 1
+
+
+def test_passages_go_whatever_other_columns_are_called(spark):
+    passage = " ".join(f"w{i}" for i in range(60)) + "."
+    rows = [(1, passage, "a", "b", "c"), (2, "before this. " + passage, "d", "e", "f"), (3, None, "g", "h", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, _later string, hash string")
+    found = {r.doc_id: r for r in sentence_spans.drop_repeats(df).collect()}
+    assert found[1].text == passage and len(found[2].text) < 0.5 * len(passage) and found[3].text is None
+    assert [tuple(found[i])[2:] for i in (1, 2, 3)] == [("a", "b", "c"), ("d", "e", "f"), ("g", "h", "i")]
 
 
 def without_repeats(texts_by_id):
@@ -248,7 +276,7 @@ def test_passages_of_51_to_60_words_are_found(least, most):
 
 
 def test_repeats_of_shared_ids_and_no_rows(spark):
-    text = "one two three four five, six seven eight nine ten, eleven twelve thirteen. "
+    text = ", ".join(" ".join(f"w{5 * k + i}" for i in range(5)) for k in range(6)) + ". "
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text + "own.")], "doc_id long, text string")
     found = sorted((repr(r.doc_id), r.text) for r in sentence_spans.drop_repeats(docs).collect())
     assert found == [("1", text), ("1", text), ("2", "own."), ("None", "")]
