@@ -1,5 +1,8 @@
 """What several operators share: tables, row keys, vectorised tasks, connected components."""
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -52,6 +55,14 @@ def sole(kept: dict) -> dict:
     return kept
 
 
+def forget() -> None:
+    """Give back what earlier operators left in this worker: their look-up tables, and memory they freed."""
+    sole({})
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps its memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def groups(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     """Texts in order, in groups of about ``most`` characters; a longer text is a group."""
     group, size = [], 0
