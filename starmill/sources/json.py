@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import flat_columns, quoted
+from starmill.sources.csv import one_split_each
+from starmill.sources.documents import split_elements
 from starmill.sources.order import file_place, place
-from starmill.workspace import Files
+from starmill.workspace import Files, materialize
 
 
 def document_order(record: Any) -> list[str]:
@@ -57,11 +59,17 @@ def read_json(
     and the ``meta`` fields of the object repeat on each. Malformed input
     raises. Columns come in written order; ``columns`` names it without a look
     at the first record. Types are inferred in a pass over the data; ``schema``
-    gives them without one. Whole documents cannot be split between tasks, so
-    large inputs should be delivered as lines.
+    gives them without one. Root arrays larger than a split are read by many
+    tasks (``documents``); a large root object is one task's, so what lies below
+    its ``record_path`` should be delivered as lines.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
+        if not lines and not one_split_each(spark, path):
+            files = Files(spark)
+            first = path if isinstance(path, str) else path[0]
+            if files.first_char(files.first_file(first)) == "[":
+                return _read_split(spark, path, columns, schema)
         docs = reader.json(path, multiLine=not lines, mode="FAILFAST")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -120,6 +128,30 @@ def read_json(
     )
 
 
+def _read_split(
+    spark: SparkSession, path: str | list[str], columns: list[str] | None, schema: T.StructType | None
+) -> DataFrame:
+    """Root arrays whose elements were cut apart by many tasks."""
+    records = materialize(split_elements(spark, path), "records")
+    if schema is None:
+        texts = getattr(records.select("record")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        reader = spark.read.option("mode", "FAILFAST")._jreader
+        schema = DataFrame(reader.json(texts), spark).schema
+    order = columns
+    if order is None:
+        first = records.orderBy("file", "block", "row").select("record").first()
+        order = document_order(json.loads(first["record"])) if first else []
+    parsed = records.withColumn("record", F.from_json("record", schema, {"mode": "FAILFAST"}))
+    leaves = {n.removeprefix("record."): c for n, c in flat_columns(schema, ("record",)).items()}
+    names = [n for n in order if n in leaves] + [n for n in leaves if n not in order]
+    return parsed.select(
+        *[leaves[n].alias(n) for n in names],
+        F.col("name").alias("_source_file"),
+        F.lit("JSON").alias("_source_type"),
+        place(0, F.col("file"), F.col("block"), F.col("row")),
+    )
+
+
 def _has(schema: T.DataType, path: list[str]) -> bool:
     for step in path:
         if not isinstance(schema, T.StructType) or step not in schema.fieldNames():

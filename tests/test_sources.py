@@ -1,8 +1,10 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
+from starmill.sources import documents
 from starmill.sources.csv import read_csv, read_csv_directory
 from starmill.sources.extract import extract, union_by_name
 from starmill.sources.generate import generate_sales
@@ -321,3 +323,84 @@ def test_sql_options_of_a_spec(spark):
         {"type": "SQL", "query": "SELECT * FROM t_spec WHERE id = ?", "params": [1]},
     ]}
     assert sorted(values(extract(spark, spec).rows, "id", "v")) == [(1, "a"), (3, "c")]
+
+
+def odd_records(rng, n):
+    texts = ["x", 'a "q", b', "back\\slash\\", "br[ack}ets,", "é–\U0001f600", "", ",,,", "two\nlines", "\\\\\"," * 9]
+    return [
+        {
+            "id": i, "t": rng.choice(texts), "n": rng.choice([None, 1.5, -2.0]),
+            "in": {"a": rng.choice(texts), "list": [rng.choice(texts) for _ in range(rng.randrange(4))]},
+        }
+        for i in range(n)
+    ]
+
+
+LAYOUTS = [{}, {"indent": 2}, {"separators": (",", ":"), "ensure_ascii": False}]
+
+
+def cut_apart(text, rng, blocks):
+    """Elements of a document whose blocks begin after commas picked at random, put together without Spark."""
+    values = text.split(",")
+    at = sorted(rng.sample(range(1, len(values)), min(blocks, len(values)) - 1))
+    of_block = [sum(a <= i for a in at) * 10 for i in range(len(values))]
+    rows = pa.table({"value": values, "file": ["f"] * len(values), "name": ["f"] * len(values), "block": of_block})
+    batches = rows.to_batches(max_chunksize=rng.randrange(1, 20))
+    starts = documents.compose(pa.Table.from_batches(documents.summaries(batches))).to_pylist()
+    before = {("f", r["block"]): (r["inside"], r["depth"]) for r in starts}
+    found = pa.Table.from_batches(documents.elements(batches, before)).to_pylist()
+    out = []
+    for r in found:
+        if r["whole"] or r["begins"]:
+            out.append(r["record"])
+        else:
+            out[-1] += r["record"]
+    return [json.loads(x) for x in out]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_json_elements_wherever_blocks_begin(layout):
+    rng = random.Random(5)
+    for n in [*range(1, 12)] * 6:
+        records = odd_records(rng, n)
+        root = records if rng.random() < 0.8 else records[0]
+        text = "\n " + json.dumps(root, **layout) + " \n"
+        want = root if isinstance(root, list) else [root]
+        assert cut_apart(text, rng, rng.randrange(1, 30)) == want
+    assert cut_apart("[1, [2, 3], \"a,]\", null]", rng, 9) == [1, [2, 3], "a,]", None]
+    assert cut_apart("[ \n ]", rng, 1) == []
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": 1},,{"a": 2}]', '[{"a": 1}] x', '[{"a": "1}]', "[1]]", "[,1]", "[1,]"])
+def test_broken_json_is_never_rows(text):
+    with pytest.raises(ValueError):
+        cut_apart(text, random.Random(3), 2)
+
+
+@pytest.mark.parametrize("layout", LAYOUTS[1:])
+def test_json_rows_at_any_size_of_a_task(spark, tmp_path, layout):
+    rng = random.Random(11)
+    records = odd_records(rng, 60)
+    records[7] = records[7] | {"t": "one, long, " * 1500}
+    path = write(tmp_path / "f.json", "\n " + json.dumps(records, **layout) + " \n")
+    want = [(r["id"], r["t"], r["n"], r["in"]["a"], r["in"]["list"]) for r in records]
+    for limit in ("5000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+        try:
+            df = read_json(spark, path)
+            assert df.columns[:5] == ["id", "t", "n", "in.a", "in.list"]
+            assert [tuple(r)[:6] for r in df.orderBy("_ord").collect()] == [(*w, "f.json") for w in want]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_one_large_json_array_is_read_by_many_tasks(spark, tmp_path):
+    records = [{"id": i, "t": f"text {i}, " * 5} for i in range(20000)]
+    files = [write(tmp_path / "a.json", json.dumps(records)), write(tmp_path / "o.json", json.dumps({"id": -1, "t": "one"}))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 200000)
+    try:
+        assert documents.pieces(spark, files).rdd.getNumPartitions() > 6
+        df = read_json(spark, files)
+        assert values(df, "id", "t") == [(r["id"], r["t"]) for r in records] + [(-1, "one")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
