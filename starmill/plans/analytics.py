@@ -81,6 +81,26 @@ def monthly_revenue(star: Star) -> DataFrame:
     )
 
 
+def revenue_subtotals(star: Star) -> DataFrame:
+    """Transactions and revenue by month, quarter and year and in total; ``level`` names the row's own.
+
+    One scan: the fact is added up by day and by month first, so that only months are expanded into subtotals.
+    """
+    months = (
+        _by_key(star.fact, "date_key").join(star.dates, "date_key").groupBy("year", "quarter", "month")
+        .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+    )
+    # The columns rolled up are set bits of the grouping, the month's the lowest.
+    level = F.element_at(F.array(*map(F.lit, ("month", "quarter", "year", "total"))), F.bit_count(F.grouping_id()) + 1)
+    return (
+        months.rollup("year", "quarter", "month")
+        .agg(
+            level.alias("level"), F.sum("n").alias("transactions"), F.sum("amount").alias("revenue"),
+            _mean(F.sum("amount"), F.sum("n")).alias("avg_transaction"),
+        )
+    )
+
+
 def top_customers(star: Star, n: int = 10) -> DataFrame:
     """The n customers with most revenue; equal revenue goes by customer key."""
     totals = _by_key(star.fact, "customer_key")

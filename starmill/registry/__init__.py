@@ -11,13 +11,14 @@ from starmill.registry import (
     reports,
     rules,
     scans,
+    sessions,
     streams,
 )
 
 QUERIES = {
     name: pair
     for module in (
-        scans, cleaning, rules, duplicates, reports, dimensions, loads, history, analytics, joins, streams,
+        scans, cleaning, rules, duplicates, reports, dimensions, loads, history, analytics, joins, streams, sessions,
     )
     for name, pair in module.QUERIES.items()
 }

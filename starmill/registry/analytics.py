@@ -122,6 +122,20 @@ FROM fact_sales JOIN dim_date USING (date_key)
 GROUP BY year, quarter, month, month_name ORDER BY year, month"""
 
 
+def subtotals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_sums(a.revenue_subtotals(star(spark, sf_dir)), "revenue")
+
+
+SUBTOTALS = STAR + """
+SELECT year, quarter, month,
+       CASE WHEN grouping(year) = 1 THEN 'total' WHEN grouping(quarter) = 1 THEN 'year'
+            WHEN grouping(month) = 1 THEN 'quarter' ELSE 'month' END AS level,
+       count(*) AS transactions, CAST(sum(total_amount) AS DECIMAL(28,2)) AS revenue,
+       CAST(sum(total_amount) AS DOUBLE) / count(*) AS avg_transaction
+FROM fact_sales JOIN dim_date USING (date_key)
+GROUP BY ROLLUP (year, quarter, month)"""
+
+
 def leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_sums(a.top_customers(star(spark, sf_dir)), "total_revenue")
 
@@ -254,6 +268,7 @@ QUERIES = {
     "jon_5_plain": (semi_join, SEMI_JOIN),
     "jon_6_plain": (full_join, FULL_JOIN),
     "agg_1": (monthly, MONTHLY),
+    "agg_1_subtotals": (subtotals, SUBTOTALS),
     "agg_2": (leaders, LEADERS),
     "agg_3": (categories, CATEGORIES),
     "agg_4": (weekends, WEEKENDS),
