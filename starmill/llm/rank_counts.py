@@ -1,5 +1,6 @@
 """Token counts by rank-synchronous merging of pre-tokens held as ragged arrays."""
 
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,6 +19,7 @@ PRE_TOKENS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 NONE = np.iinfo(np.int64).max
+LONG_WORD = 256  # bytes from which a pre-token is merged a rank at a time
 
 
 @lru_cache(maxsize=4)
@@ -55,6 +57,15 @@ class RankCounter:
 
     def merged_sizes(self, words: list[bytes]) -> np.ndarray:
         """Symbols that survive in each word, none of which is empty."""
+        long = np.fromiter((len(w) >= LONG_WORD for w in words), bool, len(words))
+        result = np.zeros(len(words), np.int64)
+        for merge, chosen in ((self._short_sizes, ~long), (self._long_sizes, long)):
+            if chosen.any():
+                result[chosen] = merge([w for w, c in zip(words, chosen) if c])
+        return result
+
+    def _short_sizes(self, words: list[bytes]) -> np.ndarray:
+        """A pass takes each word's lowest pair, so there are as many as a word has merges."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), sizes)
@@ -79,6 +90,57 @@ class RankCounter:
             symbols, owner = symbols[stay], owner[stay]
         return result
 
+    def _long_sizes(self, words: list[bytes]) -> np.ndarray:
+        """A pass takes the lowest rank there is, in all words, and costs its hits and not the whole array.
+
+        Symbols are linked to those beside them. Ranks are kept between passes, and only pairs beside a merge are
+        ranked anew; positions wait under their rank, and those that changed since are passed over.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        n, ends = int(sizes.sum()), np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        # Entry n stands for no symbol.
+        symbols = np.r_[self.byte_ids[np.frombuffer(b"".join(words), np.uint8)], 0]
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1], after[n], before[ends - sizes] = n, n, n
+        rank = np.full(n + 1, NONE)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def rank_anew(at: np.ndarray) -> None:
+            rank[at] = np.where(after[at] < n, self.ranks(symbols[at] * self.width + symbols[after[at]]), NONE)
+            at = at[rank[at] != NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            firsts = np.flatnonzero(np.diff(rank[at])) + 1
+            for group in np.split(at, firsts) if len(at) else ():
+                key = int(rank[group[0]])
+                if key not in waiting:
+                    waiting[key] = []
+                    heapq.heappush(heap, key)
+                waiting[key].append(group)
+
+        rank_anew(np.arange(n))
+        result = sizes.copy()
+        while heap:
+            lowest = heapq.heappop(heap)
+            hits = np.unique(np.concatenate(waiting.pop(lowest)))
+            hits = hits[rank[hits] == lowest]
+            if not len(hits):
+                continue
+            # Of hits that touch (a pair of equal symbols), every other one counts.
+            run = np.flatnonzero(np.r_[True, after[hits[:-1]] != hits[1:]])
+            within = np.arange(len(hits)) - np.repeat(run, np.diff(np.r_[run, len(hits)]))
+            hits = hits[within % 2 == 0]
+            gone = after[hits]
+            symbols[hits] = self.products[lowest]
+            rank[gone] = NONE
+            after[hits] = after[gone]
+            before[after[hits]] = hits
+            result -= np.bincount(owner[hits], minlength=len(words))
+            changed = np.unique(np.r_[hits, before[hits]])
+            rank_anew(changed[changed < n])
+        return result
+
     def _count_chunks(self, chunks: list[str]) -> dict[str, int]:
         """Tokens of each chunk, by its pre-tokens, all merged side by side."""
         words = [PRE_TOKENS.findall(c) for c in chunks]

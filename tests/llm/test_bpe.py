@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -154,3 +155,26 @@ def test_whole_table(spark, sf_dir, library):
     assert tree_bpe.op3_tree_bpe(spark, sf_dir).where(
         F.col("decoded_sha256").isNull()
     ).count() == 0
+
+
+def test_long_words_are_merged_in_time_that_follows_their_merges(vocabulary_path, library):
+    rng = random.Random(8)
+    letters = "".join(rng.choice("etaoinshrdlucmf") for _ in range(80_000))
+    found = [letters, "a" * 50_001, "ab" * 20_000, "the" * 9_000 + " " + "é" * 3_000, "-" * 1_000 + "x" * 255 + "9" * 256, "日本" * 700]
+    ranks = counter(vocabulary_path)
+    begun = time.monotonic()
+    counts = ranks.count_all(found)
+    assert time.monotonic() - begun < 6
+    assert counts == [len(library.encode(t, add_special_tokens=False).ids) for t in found]
+    assert (ranks._long_sizes([t.encode() for t in found[1:3]]) == ranks._short_sizes([t.encode() for t in found[1:3]])).all()
+
+
+def test_ids_of_the_whole_table_equal_the_library(spark, sf_dir, library):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op3_tree_bpe(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
