@@ -1,5 +1,6 @@
 """Secrets in texts: keywords by one automaton, anchored patterns near hits, embedded checksums."""
 
+import bisect
 import hashlib
 import re
 import string
@@ -28,6 +29,7 @@ GITHUB_WORDS = ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"]
 GITHUB = re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 NPM = re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 
+MOST_HELD = 10_000  # keywords put in order at a time
 BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
 
@@ -81,13 +83,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     data = text.encode("utf-8", "surrogatepass")
     after = [0] * len(RULES)
     spans: list[tuple[int, int, int]] = []
-    hits = [
-        (end + 1 - length, numbers)
-        for end, (length, numbers) in automaton().iter(data.lower().decode("latin-1"))
-    ]
-    # A longer keyword is reported where it ends, which may be after a later one.
-    hits.sort()
-    for start, numbers in hits:
+    for start, numbers in _hits(data.lower().decode("latin-1")):
         for number in numbers:
             if start >= after[number] and (m := RULES[number][2].match(data, start)):
                 after[number] = m.end()
@@ -99,6 +95,23 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return _in_code_points(data, spans)
 
 
+def _hits(folded: str) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(start, rules) of every keyword, in order of start; a bounded number is held, for a text may be all hits."""
+    held: list[tuple[int, tuple[int, ...]]] = []
+    longest = max(len(word) for _, words, _, _ in RULES for word in words)
+    for end, (length, numbers) in automaton().iter(folded):
+        held.append((end + 1 - length, numbers))
+        if len(held) >= MOST_HELD:
+            # A longer keyword is reported where it ends: what is still to come may begin as early as this.
+            early = end + 1 - longest
+            held.sort()
+            ready = bisect.bisect_left(held, (early,))
+            yield from held[:ready]
+            del held[:ready]
+    held.sort()
+    yield from held
+
+
 def _in_code_points(data: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     marks = sorted({p for start, _, end in spans for p in (start, end)})
     points, before, count = {}, 0, 0

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -330,3 +331,15 @@ def test_without_labels_nothing_is_toxic(spark):
     assert [r.predicted for r in toxicity.score_documents(docs, weights).collect()] == [0, 0]
     assert toxicity.drop_toxic(docs, weights).count() == 2
     assert toxicity.score_documents(docs.limit(0), weights).collect() == []
+
+
+def test_a_text_of_nothing_but_hits_is_held_in_bounded_memory():
+    text = "0123456789abcdef" * 60_000 + " " + "password=" * 3_000 + " secret: abcdefghijklmno api_key=0123456789abcdef"
+    secret_scan.automaton()  # not part of what a text takes
+    tracemalloc.start()
+    try:
+        found = secret_scan.scan(text)
+        assert tracemalloc.get_traced_memory()[1] < 20_000_000
+    finally:
+        tracemalloc.stop()
+    assert [s for s in found if s[1] < 3] == base_spans(text)
