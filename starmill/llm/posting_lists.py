@@ -179,13 +179,17 @@ def _best(k: int):
     def compare(_: int, queries: pa.Table, rows: pa.Table) -> pa.Table:
         q, v = matrix(queries["vector"]), matrix(rows["vector"])
         q_ids, ids = queries["id"].to_pylist(), rows["ids"].to_pylist()
-        rough = squared_distances(q, v)
+        # Distances are small beside vectors far from the origin; taken from a point among them, little is lost.
+        near_q, near_v = q - v[0], v - v[0]
+        rough = squared_distances(near_q, near_v)
+        # What rounding may add to a rough distance, by the vectors' lengths.
+        slack = 16 * (v.shape[1] + 2) * np.finfo(float).eps * ((near_q**2).sum(1) + (near_v**2).sum(1).max())
         kept = min(k + 1, len(v))  # one may be the query's own entry
         out: list[tuple[int, int, float]] = []
         for i, query in enumerate(q_ids):
             # Rounding may disturb ties; take all within it of the last one kept.
             line = np.partition(rough[i], kept - 1)[kept - 1]
-            at = np.flatnonzero(rough[i] <= line + 1e-9 * (1 + line))
+            at = np.flatnonzero(rough[i] <= line + slack[i])
             exact = np.sqrt(((v[at] - q[i]) ** 2).sum(1))
             near = sorted((s, vec) for s, a in zip(exact.tolist(), at) for vec in ids[a] if vec != query)
             out += [(query, vec, s) for s, vec in near[:k]]

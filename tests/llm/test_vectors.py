@@ -195,3 +195,17 @@ def test_recall_of_planted_pairs_over_many_lists(spark):
     assert (got[a[alone]] == got[b[alone]]).all()
     linked = {r.vec_id: r.component_id for r in found}
     assert all((linked[i] == linked[j]) == (got[i] == 1) for i, j in zip(a[alone], b[alone]))
+
+
+def test_neighbours_far_from_the_origin(spark):
+    rng = np.random.default_rng(4)
+    vectors = 1e8 + rng.normal(size=(400, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = nearest(df, "id % 100 = 0", prune=1e9)
+    by_query = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by_query.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(0, 400, 100):
+        far = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        want = sorted((d, i) for i, d in enumerate(far.tolist()) if i != q)[:10]
+        assert by_query[q] == [i for _, i in want]
