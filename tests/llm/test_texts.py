@@ -144,6 +144,43 @@ def test_zones_of_any_size_are_joined_exactly(spark):
         assert [find(i) for i in range(len(sets))] == expected
 
 
+def test_documents_of_one_template_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    spread = jaccard_join._spread
+    monkeypatch.setattr(jaccard_join, "_spread", lambda *args: rounds.append(1) or spread(*args))
+    # 66 of 100 shingles are everyone's, so all lie just beyond twice the reach of each other; every
+    # tenth document is a near copy of the one before, and forty are far from all.
+    sets = [set(range(66)) | set(range(1000 * i + 1000, 1000 * i + 1034)) for i in range(200)]
+    for i in range(9, 200, 10):
+        sets[i] = sets[i - 1] - {0} | {-i}
+    sets += [set(range(10**6 + 20 * i, 10**6 + 20 * i + 20)) for i in range(40)]
+    rows = spark.createDataFrame([(0, i, sorted(s)) for i, s in enumerate(sets)], "zone long, id long, shingles array<long>")
+    links = {tuple(sorted((r.a, r.b))) for r in jaccard_join.join_zones(rows, 75, 16).collect()}
+    assert links == {(i - 1, i) for i in range(9, 200, 10)}
+    assert len(rounds) <= 4
+
+
+def test_large_groups_of_near_copies_beside_others(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    common = rng.choice(10**6, 60, replace=False)
+    sets = [set(common[rng.random(60) > 0.06].tolist()) for _ in range(150)]  # close to each other
+    sets += [set(common[rng.random(60) > 0.4].tolist()) | {10**7 + i} for i in range(150)]  # some way off
+    rows = spark.createDataFrame([(0, i, sorted(s)) for i, s in enumerate(sets)], "zone long, id long, shingles array<long>")
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for r in jaccard_join.join_zones(rows, 75, 20).collect():
+        both = len(sets[r.a] & sets[r.b])
+        assert both * 100 >= 75 * len(sets[r.a] | sets[r.b])
+        x, y = find(r.a), find(r.b)
+        root[max(x, y)] = min(x, y)
+    assert [find(i) for i in range(len(sets))] == components_of(sets)
+
+
 def test_join_of_copies_nulls_and_no_rows(spark, tables):
     rows = [document(5, "a b c d e f"), document(3, "A b c d e  f"), document(3, "a b c d e f"), document(None, "a b c d e f")]
     sf_dir = tables(documents=(rows, DOC))
