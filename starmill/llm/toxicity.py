@@ -79,6 +79,18 @@ def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int, prior:
     return (p >= LEAST_TEXTS) & (share >= LEAST_SHARE)
 
 
+def risk_slope(p: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """Slope of the risk by each text's logit; the first ``n`` texts are confirmed, the others unlabelled.
+
+    Where the risk estimated for clean texts is negative, its slope alone is followed, upwards.
+    """
+    m = len(p) - n
+    clean_loss = -np.log(np.clip(1 - p, 1e-12, 1))
+    if clean_loss[n:].mean() - prior * clean_loss[:n].mean() >= 0:
+        return np.r_[prior * (p[:n] - 1) / n - prior * p[:n] / n, p[n:] / m]
+    return np.r_[prior * p[:n] / n, -p[n:] / m]
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
     """Weights that minimise the non-negative positive-unlabelled risk of a logistic classifier.
 
@@ -103,16 +115,9 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     sizes = np.bincount(owner, minlength=n + m)
     weights[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-    slope, mean = np.empty(n + m), np.zeros(SLOTS + 1)
+    mean = np.zeros(SLOTS + 1)
     for step in range(1, ROUNDS + 1):
-        p = sigmoid(sums(slots, sizes, weights))
-        clean_loss = -np.log(np.clip(1 - p, 1e-12, 1))
-        if clean_loss[n:].mean() - prior * clean_loss[:n].mean() >= 0:
-            slope[:n] = prior * (p[:n] - 1) / n - prior * p[:n] / n
-            slope[n:] = p[n:] / m
-        else:
-            slope[:n] = prior * p[:n] / n
-            slope[n:] = -p[n:] / m
+        slope = risk_slope(sigmoid(sums(slots, sizes, weights)), n, prior)
         gradient = np.append(
             np.bincount(slots, np.repeat(slope, sizes), minlength=SLOTS), slope.sum()
         )
@@ -163,7 +168,7 @@ def _sample(rows: DataFrame, most: int) -> DataFrame:
     """About ``most`` rows at most, chosen by a hash of their contents."""
     n = rows.count()
     steps = 1 << 20
-    chosen = F.pmod(F.xxhash64(F.lit(7), row_key("id", "text")), F.lit(steps))
+    chosen = F.pmod(F.xxhash64(F.lit(7), row_key(*rows.columns)), F.lit(steps))
     return rows.where(chosen < steps * min(1.0, most / max(n, 1)))
 
 
@@ -187,7 +192,9 @@ def learn(
     positives, labelled = marks.agg(F.count_if(F.col("mark") == 1), F.count("mark")).first()
     # One toxic label in ten is assumed beforehand, so that a few labels cannot make a high prior.
     prior = (positives + 1) / (labelled + 10)
-    toxic = texts.join(marks.where("mark = 1").select("id").distinct(), "id", "left_semi")
+    # Ids are sampled before texts, so that no text is shuffled to find out whether it is toxic.
+    ids = _sample(marks.where("mark = 1").select("id").distinct(), most_positive)
+    toxic = texts.join(F.broadcast(ids), "id", "left_semi")
     chosen = _sample(toxic, most_positive).withColumn("positive", F.lit(True)).unionByName(
         _sample(texts, most_unlabelled).withColumn("positive", F.lit(False))
     )

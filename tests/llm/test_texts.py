@@ -1,6 +1,7 @@
 """Secrets, toxicity, the Jaccard join and repeated passages, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import tracemalloc
@@ -361,6 +362,31 @@ def test_scores_depend_on_no_held_out_label(spark):
     assert np.array_equal(*weights)
 
 
+@pytest.mark.parametrize("prior, toxic, unlabelled, negative", [
+    (0.1, [0.5, -1.0, 2.0], [-1.5, 0.3, 0.8, -2.0], False),
+    (0.8, [3.0, 4.0], [-3.0, -4.0, -2.5], True),  # toxic texts told apart so well that the estimate turns negative
+])
+def test_slope_of_the_risk_by_a_plain_loop(prior, toxic, unlabelled, negative):
+    def losses(z):
+        return [(math.log1p(math.exp(-v)), math.log1p(math.exp(v))) for v in z]  # called clean, called toxic
+
+    def clean_risk(z):
+        pairs = losses(z)
+        return sum(c for _, c in pairs[n:]) / (len(z) - n) - prior * sum(c for _, c in pairs[:n]) / n
+
+    def aim(z):
+        if negative:
+            return -clean_risk(z)
+        return prior * sum(t for t, _ in losses(z)[:n]) / n + clean_risk(z)
+
+    z, n, h = [*toxic, *unlabelled], len(toxic), 1e-5
+    assert (clean_risk(z) < 0) == negative
+    found = toxicity.risk_slope(toxicity.sigmoid(np.array(z)), n, prior)
+    for i in range(len(z)):
+        up, down = ([*z[:i], z[i] + d, *z[i + 1:]] for d in (h, -h))
+        assert found[i] == pytest.approx((aim(up) - aim(down)) / (2 * h), abs=1e-8)
+
+
 def test_without_labels_nothing_is_toxic(spark):
     docs = spark.createDataFrame([document(1, "a"), document(2, None)], DOC)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
