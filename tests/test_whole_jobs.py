@@ -55,3 +55,9 @@ def test_loaded_facts_are_numbered_by_key(spark, few):
     found = QUERIES["lod_8"][0](spark, f"file:{few}").toArrow().to_pylist()
     assert [r["quantity"] for r in sorted(found, key=lambda r: r["sale_id"])] == [3, 9, 4, 7, 1]
     assert same_rows(found, expected(few, "lod_8"))
+
+
+def test_star_view_numbers_sales_by_key(spark, few):
+    found = QUERIES["jon_1"][0](spark, f"file:{few}").toArrow().to_pylist()
+    assert [r["quantity"] for r in sorted(found, key=lambda r: r["sale_id"])] == [3, 50, 9, 4, 7, 1]
+    assert same_rows(found, expected(few, "jon_1"))
