@@ -43,17 +43,20 @@ def urgent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Anti join of a reload: stored lines as read once the orders of a batch are deleted."""
+    """Anti join of a reload: stored lines as read once the orders of a batch are deleted, with their products."""
     warehouse = loaded_warehouse(spark, sf_dir)
     base = warehouse.current()
     gone = warehouse.write_deleted(urgent(spark, sf_dir).select("order_id").distinct(), base.version + 1)
     live = warehouse.live_facts(base.tables[FACT], [gone])
-    return live.select("order_id", "quantity", "total_amount")
+    products = warehouse.table("dim_product", base).select("product_key", "product_id")
+    return live.join(products, "product_key").select(
+        "order_id", "product_id", F.col("quantity").cast("int"), "total_amount"
+    )
 
 
 _URGENT = "SELECT order_id FROM sales WHERE quantity = 50 AND order_date < DATE '1996-01-01'"
 KEPT_LINES = f"""WITH {SALES}
-SELECT order_id, CAST(quantity AS BIGINT) AS quantity, total_amount FROM sales WHERE order_id NOT IN ({_URGENT})"""
+SELECT order_id, product_id, quantity, total_amount FROM sales WHERE order_id NOT IN ({_URGENT})"""
 
 
 def replaced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

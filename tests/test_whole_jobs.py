@@ -61,3 +61,11 @@ def test_star_view_numbers_sales_by_key(spark, few):
     found = QUERIES["jon_1"][0](spark, f"file:{few}").toArrow().to_pylist()
     assert [r["quantity"] for r in sorted(found, key=lambda r: r["sale_id"])] == [3, 50, 9, 4, 7, 1]
     assert same_rows(found, expected(few, "jon_1"))
+
+
+def test_kept_lines_name_their_products(spark, few):
+    found = QUERIES["jon_4"][0](spark, f"file:{few}").toArrow().to_pylist()
+    assert {(r["order_id"], r["product_id"]) for r in found} == {
+        ("ORD000000002", "P000001"), ("ORD000000002", "P000003"), ("ORD000000003", "P000001"), ("ORD000000003", "P000002"),
+    }
+    assert same_rows(found, expected(few, "jon_4"))
