@@ -10,7 +10,7 @@ from starmill.operators import numbering
 from starmill.operators.dimensions import customer_dimension, date_dimension, product_dimension
 from starmill.operators.numbering import number_placed
 from starmill.operators.sinks import FlatStore, export_csv, export_json
-from starmill.plans import analytics
+from starmill.plans import analytics, star_load
 from starmill.plans.star_load import load_star, parts_of
 from starmill.plans.warehouse import (
     DELETED, FACT, ConstraintError, ContractError, Warehouse, depth_of, holding, part_of,
@@ -190,6 +190,23 @@ def test_numbers_follow_the_places(spark, monkeypatch):
     assert all(found[r[:4]] is None for r in rows if not r[4])
 
 
+def test_facts_are_numbered_before_their_keys_are_looked_up(spark, tmp_path, monkeypatch):
+    plans, number = [], star_load.number_facts
+
+    def seen(lines, start):
+        plans.append(lines._jdf.queryExecution().optimizedPlan().toString())
+        return number(lines, start)
+
+    monkeypatch.setattr(star_load, "number_facts", seen)
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    load_star(warehouse, sales(spark, *[sale(9 - n, f"O{n}", "2024-01-01", f"C{n % 2}", f"P{n}") for n in range(9)]))
+    # A look-up below the numbers would run once for the counts and once for the rows.
+    assert len(plans) == 1 and "Join" not in plans[0]
+    facts = warehouse.table(FACT).orderBy("sale_id").collect()
+    assert [r["order_id"] for r in facts] == [f"O{n}" for n in range(8, -1, -1)]
+    assert [r["product_key"] for r in facts] == list(range(1, 10))
+
+
 def test_a_streams_dates_mean_the_same_in_every_batch(spark, tmp_path):
     warehouse = Warehouse(spark, f"file:{tmp_path}/w")
     batches = [["02/03/2024"], ["nonsense"], ["13/02/2024", "04/05/2024"]]
