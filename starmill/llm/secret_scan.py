@@ -53,6 +53,7 @@ RULES = [
     ("github", GITHUB_WORDS, GITHUB, lambda m: carries_checksum(m[0])),
     ("npm", ["npm_"], NPM, lambda m: carries_checksum(m[0])),
 ]
+LONGEST = max(len(word) for _, words, _, _ in RULES for word in words)  # of all keywords
 
 
 @lru_cache(maxsize=1)
@@ -98,12 +99,11 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 def _hits(folded: str) -> Iterator[tuple[int, tuple[int, ...]]]:
     """(start, rules) of every keyword, in order of start; a bounded number is held, for a text may be all hits."""
     held: list[tuple[int, tuple[int, ...]]] = []
-    longest = max(len(word) for _, words, _, _ in RULES for word in words)
     for end, (length, numbers) in automaton().iter(folded):
         held.append((end + 1 - length, numbers))
         if len(held) >= MOST_HELD:
             # A longer keyword is reported where it ends: what is still to come may begin as early as this.
-            early = end + 1 - longest
+            early = end + 1 - LONGEST
             held.sort()
             ready = bisect.bisect_left(held, (early,))
             yield from held[:ready]

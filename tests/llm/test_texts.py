@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -396,6 +397,14 @@ def test_without_labels_nothing_is_toxic(spark):
     assert toxicity.score_documents(docs.limit(0), weights).collect() == []
 
 
+def test_a_short_text_does_not_cost_a_pass_over_all_keywords():
+    secret_scan.automaton()
+    begun = time.process_time()
+    for _ in range(2_000):
+        secret_scan.scan("nothing here")
+    assert time.process_time() - begun < 1
+
+
 def test_a_text_of_nothing_but_hits_is_held_in_bounded_memory():
     text = "0123456789abcdef" * 60_000 + " " + "password=" * 3_000 + " secret: abcdefghijklmno api_key=0123456789abcdef"
     secret_scan.automaton()  # not part of what a text takes
