@@ -1,11 +1,13 @@
 """Queries over a few rows whose file does not have them in the order of their keys."""
 
 from datetime import datetime
+from pathlib import Path
 
 import duckdb
 import pytest
 
-from starmill.registry import QUERIES
+from starmill import session
+from starmill.registry import QUERIES, tables
 
 # Order, line, part, quantity: out of order, one line number missing.
 LINES = [(3, 1, 2, 7.0), (1, 2, 1, 50.0), (2, None, 1, 4.0), (1, 1, 2, 3.0), (2, 1, 3, 9.0), (3, 2, 1, 1.0)]
@@ -69,3 +71,17 @@ def test_kept_lines_name_their_products(spark, few):
         ("ORD000000002", "P000001"), ("ORD000000002", "P000003"), ("ORD000000003", "P000001"), ("ORD000000003", "P000002"),
     }
     assert same_rows(found, expected(few, "jon_4"))
+
+
+def test_partitions_grow_with_the_tables(spark, few, monkeypatch):
+    before = spark.conf.get(session.PARTITIONS)
+    size = sum(f.stat().st_size for f in Path(few, "lineitem.parquet").iterdir() if f.suffix == ".parquet")
+    monkeypatch.setattr(session, "INPUT_A_PARTITION", 100)
+    try:
+        tables.table(spark, f"file:{few}", "lineitem")
+        assert int(spark.conf.get(session.PARTITIONS)) >= size / 100 > int(before)
+        most = spark.conf.get(session.PARTITIONS)
+        tables.table(spark, f"file:{few}", "region")
+        assert spark.conf.get(session.PARTITIONS) == most
+    finally:
+        spark.conf.set(session.PARTITIONS, before)
