@@ -21,8 +21,9 @@ from starmill.sources.sql import list_tables, read_query, read_table
 from starmill.workspace import materialize, scratch_path
 
 
-def csv_of(df: DataFrame, path: str) -> str:
-    df.write.mode("append").csv(
+def csv_of(df: DataFrame, path: str, rows_a_file: int = 0) -> str:
+    """Write CSV files, of so many rows at most if that is given."""
+    df.write.mode("append").option("maxRecordsPerFile", rows_a_file).csv(
         path, header=True, escape='"', ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
@@ -53,17 +54,25 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, text,
 FROM documents"""
 
 
+SPLIT_ROWS = 1_000_000  # of a table whose files and tasks are small
+
+
 def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items in files of 20,000 rows, each with a cell of two lines, read by tasks of 64 KB."""
+    """Line items in files of 20,000 rows, each with a cell of two lines, read by tasks of 64 KB.
+
+    Files and tasks of a large table are larger in one proportion, so that there are no more of them:
+    the driver hears from every task.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.concat_ws("\n", "l_returnflag", "l_linestatus").alias("flags"), "l_returnflag"
     )
     path = scratch_path(spark, "csv")
-    lines.write.option("maxRecordsPerFile", 20_000).csv(path, header=True, escape='"')
+    times = max(1, -(-lines.count() // SPLIT_ROWS))
+    lines.write.option("maxRecordsPerFile", 20_000 * times).csv(path, header=True, escape='"')
     files = spark.read.text(path).inputFiles()
     limit = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(limit)
-    spark.conf.set(limit, 65536)
+    spark.conf.set(limit, 65536 * times)
     try:
         rows = materialize(read_csv(spark, files), "split")
     finally:

@@ -4,7 +4,7 @@ import random
 import pyarrow as pa
 import pytest
 
-from starmill.sources import documents
+from starmill.sources import documents, records
 from starmill.sources.csv import read_csv, read_csv_directory
 from starmill.sources.extract import extract, union_by_name
 from starmill.sources.generate import generate_sales
@@ -404,3 +404,33 @@ def test_one_large_json_array_is_read_by_many_tasks(spark, tmp_path):
         assert values(df, "id", "t") == [(r["id"], r["t"]) for r in records] + [(-1, "one")]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ["", "\n", "a", "a\n", "a\n\n", "\n\na\nbb\n\nccc", 'h\n"x\n\n', "one line that is longer\nb\n"])
+def test_lines_of_a_text_come_in_groups(text):
+    whole = text.removesuffix("\n").split("\n")
+    for most in (0, 1, 3, 1000):
+        groups = list(records.line_groups(text, most))
+        assert [line for group in groups for line in group] == whole
+        assert all(sum(map(len, group[:-1])) <= most for group in groups)
+
+
+def test_a_file_of_a_stream_is_not_held_as_records(spark, tmp_path):
+    cells = "".join(f'{n},"two\nlines"\n' for n in range(60_000))
+    (tmp_path / "one.csv").write_text(f"n,t\n{cells}")
+    sizes = []
+
+    class Seen(records.Block):
+        def taken(self, parts):
+            out = super().taken(parts)
+            sizes.append(out.num_rows)
+            return out
+
+    text = (tmp_path / "one.csv").read_text()
+    block = Seen("f", "f", 0, records.Blocks(), ",", None)
+    for lines in records.line_groups(text, 1 << 16):
+        block.add(pa.array(lines, pa.string()))
+        block.taken(False)
+    block.finish()
+    block.taken(False)
+    assert sum(sizes) == 60_000 and max(sizes) < 6_000

@@ -2,6 +2,9 @@
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
+from starmill.registry import streams
 from starmill.streaming.ingest import publish_stream, published_totals, stream_totals
 
 
@@ -26,3 +29,22 @@ def test_totals_are_final_and_their_state_is_dropped(spark, tmp_path):
     run()
     totals = {r["period"].day: (r["transactions"], r["revenue"]) for r in published_totals(spark, out).collect()}
     assert totals == {day: (2, 2) for day in range(1, 7)} | {7: (3, 7)}
+
+
+def test_files_of_a_stream_have_a_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "ARRIVAL_ROWS", 100)
+    rows = spark.range(2000).select(F.struct("id").alias("_ord"))
+    files = streams.arrivals(rows, f"file:{tmp_path}/in", 3)
+    written = spark.read.parquet(f"file:{tmp_path}/in")
+    sizes = [r["count"] for r in written.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert files == 7 and len(sizes) == 21 and sum(sizes) == 2000 and max(sizes) < 200
+
+
+def test_csv_files_that_a_stream_reads_whole_have_a_bounded_size(spark, sf_dir, monkeypatch, tmp_path):
+    monkeypatch.setattr(streams, "CSV_ROWS", 400)
+    seen = []
+    write = streams.csv_of
+    monkeypatch.setattr(streams, "csv_of", lambda *args: seen.append(write(*args)) or seen[0])
+    found = streams.cleaned_stream(spark, sf_dir)
+    files = spark.read.text(seen[0]).groupBy(F.col("_metadata.file_name")).count().collect()
+    assert max(r["count"] for r in files) <= 401 and found.count() == sum(r["count"] - 1 for r in files)
