@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from starmill import session
-from starmill.registry import QUERIES, tables
+from starmill.registry import QUERIES, scans, tables
 
 # Order, line, part, quantity: out of order, one line number missing.
 LINES = [(3, 1, 2, 7.0), (1, 2, 1, 50.0), (2, None, 1, 4.0), (1, 1, 2, 3.0), (2, 1, 3, 9.0), (3, 2, 1, 1.0)]
@@ -85,3 +85,14 @@ def test_partitions_grow_with_the_tables(spark, few, monkeypatch):
         assert spark.conf.get(session.PARTITIONS) == most
     finally:
         spark.conf.set(session.PARTITIONS, before)
+
+
+def test_a_large_table_is_not_read_by_more_tasks(spark, sf_dir, monkeypatch):
+    limits = []
+    read = scans.read_csv
+    monkeypatch.setattr(scans, "SPLIT_ROWS", 1_000)
+    monkeypatch.setattr(
+        scans, "read_csv", lambda s, files: limits.append(int(s.conf.get("spark.sql.files.maxPartitionBytes"))) or read(s, files)
+    )
+    assert scans.csv_split(spark, sf_dir).count() == 6_000
+    assert limits == [6 * 65536]
