@@ -27,7 +27,6 @@ CHUNKS = re.compile(
 
 LONGEST_KEPT = 64  # characters of a chunk that is worth remembering
 MOST_KEPT = 400_000  # chunks a worker remembers before it starts afresh
-GENERATION = 250_000  # chunks met lately, after which only those met again are remembered
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -86,8 +85,7 @@ class ByteBpe:
             self.bytes_of[i] = token.encode()
         self.sizes = np.array([len(b) for b in self.bytes_of], np.int64)
         self.decimals = [b"%d," % i for i in range(len(self.bytes_of))]
-        # Ids of chunks: those met lately are "near", those of the generation before "far".
-        self.kept: dict[str, dict[str, bytes]] = {}
+        self.kept: dict[str, bytes] = {}
 
     def plain_parts(self, text: str) -> list[str]:
         """The text cut at special strings, which are the odd entries."""
@@ -104,23 +102,18 @@ class ByteBpe:
         return [next(found) if p else self.encode(t).tobytes() for t, p in zip(texts, plain)]
 
     def _encode_lists(self, lists: list[list[str]]) -> list[bytes]:
-        if not self.kept or len(self.kept["near"]) > GENERATION:
-            self.kept["far"], self.kept["near"] = self.kept.get("near", {}), {}
-        kept, far = self.kept["near"], self.kept["far"]
+        kept = self.kept
+        if len(kept) > MOST_KEPT:
+            kept.clear()
         long: dict[str, bytes] = {}
-        new = set().union(*lists).difference(kept)
-        if far:
-            again = [c for c in new if c in far]
-            kept.update(zip(again, map(far.__getitem__, again)))
-            new.difference_update(again)
-        if new:
+        if new := [c for c in set().union(*lists) if c not in kept]:
             for chunk, ids in self._encode_chunks(new):
                 (kept if len(chunk) <= LONGEST_KEPT else long)[chunk] = ids
         if long:
             return [b"".join([long[c] if c in long else kept[c] for c in chunks]) for chunks in lists]
         return [b"".join(map(kept.__getitem__, chunks)) for chunks in lists]
 
-    def _encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
+    def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of each chunk. Those that begin with a blank go to the library in one
         string, where each begins a pre-token all the same."""
         spaced = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1] not in BLANK]
