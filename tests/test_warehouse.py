@@ -435,3 +435,56 @@ def test_failed_runs_report_why(spark, tmp_path):
     strict = run(spark, {"validation_mode": "strict", "output": {"path": "x"},
                          "sources": [{"type": "CSV", "path": str(tmp_path / "no.csv")}]})
     assert strict["status"] == "failed" and "not found" in strict["error"]
+
+
+def placed_sales(spark, *rows):
+    place = F.struct(F.lit(0).alias("source"), F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("_ord.place").cast("long").alias("row"))
+    return sales(spark, *rows).withColumn("_ord", place)
+
+
+def test_rows_are_numbered_without_a_shuffle(spark):
+    df = spark.range(30_000).select(
+        F.struct(F.lit(0).alias("source"), F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("id").alias("row"))
+        .alias("_ord"), (F.col("id") % 3 != 0).alias("good"),
+    )
+    numbered = number_placed(materialize(df, "rows"), "number", 1, F.col("good"))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    found = numbered.where("good").agg(F.min("number"), F.max("number"), F.count_distinct("number")).first()
+    assert tuple(found) == (1, 20_000, 20_000)
+    assert numbered.where("good AND number <> _ord.row - _ord.row div 3").isEmpty()
+
+
+def test_rows_that_share_a_place_get_their_own_numbers(spark):
+    rows = [(p, n) for p in (5, 1, 70, 9000) for n in range(2)]
+    df = spark.createDataFrame(rows, "row long, n int").select(
+        F.struct(F.lit(0).alias("source"), F.lit("f").alias("file"), F.lit(0).cast("long").alias("block"), "row").alias("_ord"),
+    )
+    found = sorted((r["number"], r["_ord"]["row"]) for r in number_placed(df, "number", 1, F.lit(True)).collect())
+    assert found == list(enumerate([1, 1, 5, 5, 70, 70, 9000, 9000], 1))
+
+
+def test_first_rows_are_found_without_sorting_all_rows(spark):
+    df = placed_sales(
+        spark,
+        sale(2, "O2", "2024-01-15", "C1", "P1", email="new", unit_price=11.11),
+        sale(1, "O1", "2024-03-01", "C1", "P1", email="old", unit_price=10.0),
+        sale(9000, "O3", "2024-02-01", "C2", "P1", unit_price=10.0),
+    )
+    by_place = numbering.with_places(df, "_ord")
+    for dimension in (customer_dimension, product_dimension):
+        found = dimension(by_place)
+        assert sorted(map(tuple, found.drop("_ord").collect())) == sorted(map(tuple, dimension(df).drop("_ord").collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
+
+
+def test_keys_are_looked_up_in_written_dimensions(spark, tmp_path):
+    warehouse = Warehouse(spark, f"file:{tmp_path}/w")
+    rows = materialize(placed_sales(spark, *[sale(n, f"O{n}", "2024-01-01", f"C{n % 3}", f"P{n % 2}") for n in range(6)]), "sales")
+    loaded = star_load.load_dimension(
+        warehouse, warehouse.current(), "dim_customer", customer_dimension(rows), datetime(2024, 1, 1)
+    )
+    assert sorted(tuple(r) for r in loaded.rows.select("customer_key", "customer_id").collect()) == [(1, "C0"), (2, "C1"), (3, "C2")]
+    files = loaded.rows.inputFiles()
+    assert files and all(f"/dim_customer/{loaded.folders[0].split('/')[1]}/" in f for f in files)
