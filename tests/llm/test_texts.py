@@ -13,6 +13,8 @@ import pytest
 from conftest_llm import DOC, ODD_TEXTS, document
 
 from starmill.llm import jaccard_join, secret_scan, sentence_spans, toxicity
+from starmill.llm.shingles import longest_first, shingle_set
+from starmill.workspace import Files, shared_dir
 
 ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII
@@ -196,6 +198,73 @@ def test_join_of_copies_nulls_and_no_rows(spark, tables):
     assert [r.doc_id for r in jaccard_join.one_of_each(docs).collect()] == [3]
 
 
+def test_copies_read_by_several_tasks_are_one_document_in_a_region(spark, monkeypatch):
+    # Two texts of 36 shingles share one: by itself not enough to be candidates, whatever copies there are.
+    mine = [
+        " ".join([*(f"{k}word{i}" for i in range(20)), *(f"shared{'x' * 20}{i}" for i in range(5)), *(f"{k}text{i}" for i in range(15))])
+        for k in "ab"
+    ]
+    docs = spark.createDataFrame([(i, mine[i % 2]) for i in range(16)], "doc_id long, text string").repartition(8, "doc_id")
+    edges = []
+
+    def counted(*args, found=jaccard_join._zone_edges):
+        edges.append(found(*args).count())
+        return found(*args)
+
+    monkeypatch.setattr(jaccard_join, "_zone_edges", counted)
+    found = jaccard_join.jaccard_components(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(i, i % 2) for i in range(16)]
+    assert edges == [0]
+
+
+def test_shingles_of_short_words_come_last():
+    filler = "of the and in to a on it is"
+    text = f"{filler} {' '.join(f'uncommon{i}' for i in range(30))} {filler}"
+    found, order = longest_first(text)
+    assert found.tolist() == shingle_set(text).tolist() and sorted(order) == list(range(len(found)))
+    short = {int(v) for v in shingle_set(filler)}
+    assert {int(v) for v in found[order][-len(short):]} == short
+    # An order of all shingles, whatever text they are in.
+    other, other_order = longest_first(f"{filler} {' '.join(f'uncommon{i}' for i in range(10, 40))}")
+    both = set(found.tolist()) & set(other.tolist())
+    assert [v for v in found[order].tolist() if v in both] == [v for v in other[other_order].tolist() if v in both]
+
+
+def test_what_the_join_writes_on_the_way_is_removed(spark):
+    docs = spark.createDataFrame([(i, f"{'a b c d e f g h ' * 4}{i % 3}") for i in range(12)], "doc_id long, text string")
+    files = Files(spark)
+    before = set(files.names(f"{shared_dir(spark)}/starmill"))
+    found = jaccard_join.jaccard_components(docs)
+    left = set(files.names(f"{shared_dir(spark)}/starmill")) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["jaccard-components"]
+    assert found.count() == 12
+
+
+def test_whole_texts_are_not_shuffled_to_drop_copies(spark):
+    docs = spark.createDataFrame([(i, f"text {i // 4} of some words", i) for i in range(-40, 400)], "doc_id long, text string, more int")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    held = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        stay = jaccard_join.one_of_each(docs)
+        plan = stay._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan
+    assert sorted(r.doc_id for r in stay.collect()) == list(range(-40, 400, 4))
+
+
+@pytest.mark.parametrize("most", [1 << 19, 0])
+def test_rows_without_those_that_go(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard_join, "MOST_WORDS", most)
+    ids = [-(1 << 63), -65, -64, -1, 0, 63, 64, 1 << 40, (1 << 63) - 1]
+    rows = spark.createDataFrame([(i, "_word") for i in ids for _ in range(2)], "i long, _word string")
+    gone = spark.createDataFrame([(i,) for i in ids[::2] for _ in range(3)], "i long")
+    assert sorted(r.i for r in jaccard_join._without(rows, gone, "i").collect()) == sorted(ids[1::2] * 2)
+
+
 def test_one_row_of_each_component_stays(spark):
     long = " ".join(f"w{i}" for i in range(40))
     rows = [
