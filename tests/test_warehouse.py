@@ -16,7 +16,7 @@ from starmill.plans.warehouse import (
     DELETED, FACT, ConstraintError, ContractError, Warehouse, depth_of, holding, part_of,
 )
 from starmill.sources.generate import generate_sales
-from starmill.workspace import materialize
+from starmill.workspace import FILE_CLEANUP, materialize, shuffles_dropped
 
 SALE = (
     "place int, order_id string, order_date string, customer_id string, customer_name string, "
@@ -488,3 +488,34 @@ def test_keys_are_looked_up_in_written_dimensions(spark, tmp_path):
     assert sorted(tuple(r) for r in loaded.rows.select("customer_key", "customer_id").collect()) == [(1, "C0"), (2, "C1"), (3, "C2")]
     files = loaded.rows.inputFiles()
     assert files and all(f"/dim_customer/{loaded.folders[0].split('/')[1]}/" in f for f in files)
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_written_tables_and_loads_leave_no_shuffle_files(spark, tmp_path):
+    setting = spark.conf.get(FILE_CLEANUP, None)
+    before = shuffle_files(spark)
+    materialize(spark.range(1000).repartition(7).groupBy(F.col("id") % 10).count(), "counts")
+    assert not shuffle_files(spark) - before
+    batch = [sale(n, f"O{n // 2}", f"2024-01-0{1 + n}", f"C{n % 3}", f"P{n % 4}") for n in range(8)]
+    loaded = load_star(Warehouse(spark, f"file:{tmp_path}/wh"), sales(spark, *batch))
+    assert loaded.facts["rows_loaded"] == 8 and not shuffle_files(spark) - before
+    assert spark.conf.get(FILE_CLEANUP, None) == setting
+
+
+def test_the_switch_for_shuffle_files_is_as_it_was(spark):
+    spark.conf.set(FILE_CLEANUP, "false")
+    try:
+        with pytest.raises(ZeroDivisionError), shuffles_dropped(spark), shuffles_dropped(spark):
+            assert spark.conf.get(FILE_CLEANUP) == "true"
+            1 / 0
+        assert spark.conf.get(FILE_CLEANUP) == "false"
+    finally:
+        spark.conf.unset(FILE_CLEANUP)
+    # What is read again after its shuffle is gone is still whole.
+    with shuffles_dropped(spark):
+        df = spark.range(100).repartition(3).groupBy(F.col("id") % 4).count()
+    assert [len(df.collect()) for _ in range(3)] == [4, 4, 4]
