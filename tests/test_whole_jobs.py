@@ -8,6 +8,7 @@ import pytest
 
 from starmill import session
 from starmill.registry import QUERIES, scans, tables
+from starmill.workspace import Files, shared_dir
 
 # Order, line, part, quantity: out of order, one line number missing.
 LINES = [(3, 1, 2, 7.0), (1, 2, 1, 50.0), (2, None, 1, 4.0), (1, 1, 2, 3.0), (2, 1, 3, 9.0), (3, 2, 1, 1.0)]
@@ -96,3 +97,15 @@ def test_a_large_table_is_not_read_by_more_tasks(spark, sf_dir, monkeypatch):
     )
     assert scans.csv_split(spark, sf_dir).count() == 6_000
     assert limits == [6 * 65536]
+
+
+def test_sales_by_key_carry_one_number_and_are_removed_once_loaded(spark, few, monkeypatch):
+    rows = tables.sales(spark, f"file:{few}", True, numbered=True)
+    assert dict(rows.dtypes)["_ord"] == "bigint"
+    assert [r["quantity"] for r in sorted(rows.collect(), key=lambda r: r["_ord"])] == [3, 50, 9, 4, 7, 1]
+    files = Files(spark)
+    before = set(files.names(f"{shared_dir(spark)}/starmill"))
+    monkeypatch.setattr(tables, "_written", {})
+    tables.loaded_warehouse(spark, f"file:{few}", by_key=True)
+    left = set(files.names(f"{shared_dir(spark)}/starmill")) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["warehouse"]
