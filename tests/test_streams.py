@@ -1,11 +1,15 @@
 """Streams over files that arrive one by one."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from starmill.plans import star_load
 from starmill.registry import streams
-from starmill.streaming.ingest import publish_stream, published_totals, stream_totals
+from starmill.plans.warehouse import Warehouse
+from starmill.sources.order import place
+from starmill.streaming.ingest import publish_stream, published_totals, stream_load, stream_totals
+from starmill.workspace import Files, shared_dir
 
 
 def arrive(spark, folder, rows):
@@ -48,3 +52,35 @@ def test_csv_files_that_a_stream_reads_whole_have_a_bounded_size(spark, sf_dir,
     found = streams.cleaned_stream(spark, sf_dir)
     files = spark.read.text(seen[0]).groupBy(F.col("_metadata.file_name")).count().collect()
     assert max(r["count"] for r in files) <= 401 and found.count() == sum(r["count"] - 1 for r in files)
+
+
+def test_lines_of_a_stream_are_numbered_by_their_places(spark, sf_dir, tmp_path, monkeypatch):
+    sorted_rows = []
+    numbered = star_load.number_rows
+    monkeypatch.setattr(star_load, "number_rows", lambda df, order, into, *args: sorted_rows.append(into) or numbered(df, order, into, *args))
+    lines = [
+        (f"O{n % 4}", date(2024, 1, 1 + n), f"C{n % 3}", "a", "a@x", "Spain", "Madrid", f"P{n % 2}", "thing", "Books", "Tech", "B",
+         1, 2.0, 0.0, 2.0, (7 * n) % 10) for n in range(10)
+    ]
+    rows = spark.createDataFrame(
+        lines, "order_id string, order_date date, customer_id string, customer_name string, email string, country string, "
+        "city string, product_id string, product_name string, category string, subcategory string, brand string, "
+        "quantity long, unit_price double, discount double, total_amount double, at long",
+    ).withColumn("place", place(0, F.lit("f"), F.lit(0), F.col("at"))).drop("at")
+    rows.coalesce(1).write.parquet(f"file:{tmp_path}/in")
+    warehouse = Warehouse(spark, f"file:{tmp_path}/wh")
+    stream = spark.readStream.schema(rows.schema).parquet(f"file:{tmp_path}/in")
+    stream_load(stream, warehouse, f"file:{tmp_path}/state", ["place"]).awaitTermination()
+    assert sorted(sorted_rows) == ["customer_key", "product_key"]  # the dimensions only
+    facts = sorted((r.sale_id, r.date_key) for r in warehouse.table("fact_sales").collect())
+    days = {(7 * n) % 10: 20240101 + n for n in range(10)}
+    assert facts == [(k + 1, days[k]) for k in range(10)]
+
+
+def test_what_arrives_is_removed_once_it_is_loaded(spark, sf_dir):
+    streams.written_sales(spark, sf_dir)
+    files = Files(spark)
+    before = set(files.names(f"{shared_dir(spark)}/starmill"))
+    assert streams.loaded_stream(spark, sf_dir).count()
+    left = {n.rsplit("-", 1)[0] for n in set(files.names(f"{shared_dir(spark)}/starmill")) - before}
+    assert left <= {"warehouse", "state"}
